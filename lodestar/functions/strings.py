@@ -75,11 +75,13 @@ def split_terms(text: Column | str, min_len: int = 2,
     tokens = F.split(F.lower(_col(text)), TOKEN_SPLIT_PATTERN)
     if han_ngrams:
         lengths = tuple(sorted({n for n in han_ngrams if n >= 1}))
-        tokens = F.flatten(F.transform(
+        expanded = F.flatten(F.transform(
             tokens,
             lambda t: F.when(t.rlike(HAN_PATTERN), _han_ngrams(t, lengths))
             .otherwise(F.array(t)),
         ))
+        # Texts without any Han character skip the per-token lambda entirely.
+        tokens = F.when(_col(text).rlike(HAN_PATTERN), expanded).otherwise(tokens)
     kept = F.filter(tokens, lambda t: F.length(t) >= min_len)
     return F.array_distinct(kept) if distinct else kept
 

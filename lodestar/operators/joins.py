@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (one job, reads at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                       known_rows: int | None = None) -> DataFrame:
     """Return ``broadcast(df)`` if it holds at most ``max_rows`` rows, else ``df``.
@@ -25,9 +30,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """
     if known_rows is not None and known_rows <= max_rows:
         return F.broadcast(df)
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def vector_broadcast_rows(dims: int, budget_bytes: int = 256 << 20) -> int:

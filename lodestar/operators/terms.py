@@ -37,8 +37,8 @@ def tokenize(docs: DataFrame, id_col: str = "article_id", text_col: str = "conte
 def drop_stopwords(terms: DataFrame, stopwords: DataFrame, word_col: str = "word",
                    term_col: str = "term") -> DataFrame:
     """Left-anti join against a stop list (broadcast when its size checks out)."""
-    stop = stopwords.select(F.col(word_col).alias("_stop")).distinct()
-    stop = bounded_broadcast(stop)
+    # An anti join only tests existence: duplicate stop words need no distinct.
+    stop = bounded_broadcast(stopwords.select(F.col(word_col).alias("_stop")))
     return terms.join(stop, terms[term_col] == stop["_stop"], "left_anti")
 
 
@@ -49,9 +49,8 @@ def keep_pos(terms: DataFrame, dictionary: DataFrame, prefix: str = "n",
     A left-semi join: the dictionary only filters, it adds no columns.
     Words missing from the dictionary are dropped.
     """
-    words = (dictionary.where(F.col(pos_col).startswith(prefix))
-             .select(F.col(word_col).alias("_word")).distinct())
-    words = bounded_broadcast(words)
+    words = bounded_broadcast(dictionary.where(F.col(pos_col).startswith(prefix))
+                              .select(F.col(word_col).alias("_word")))
     return terms.join(words, terms[term_col] == words["_word"], "left_semi")
 
 

@@ -22,6 +22,7 @@ from lodestar.operators import (
 from lodestar.operators.keywords import DEFAULT_TOP_K, DEFAULT_VOCAB_SIZE
 from lodestar.operators.terms import terms_by_article
 from lodestar.plans import warehouse as W
+from lodestar.sources.tables import materialize
 
 DIGITS = 6
 SMALL_VOCAB = 1000      # a second vocabulary query where the cap actually cuts
@@ -33,7 +34,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---------------------------------------------------------------- Spark side
 
 def _content_terms(spark: SparkSession, d: str) -> DataFrame:
-    return content_terms(W.articles(spark, d), W.stopwords(spark, d), W.dictionary(spark, d))
+    """O3 output, written once to the checkpoint folder (the article-terms table)."""
+    stop = materialize(W.stopwords(spark, d))
+    dictionary = materialize(W.dictionary(spark, d))
+    return materialize(content_terms(W.articles(spark, d), stop, dictionary))
 
 
 def _top(spark: SparkSession, d: str, ct: DataFrame | None = None, order: str = "desc"):
@@ -42,8 +46,9 @@ def _top(spark: SparkSession, d: str, ct: DataFrame | None = None, order: str =
 
 
 def _kw_vec(spark: SparkSession, d: str) -> DataFrame:
+    """O5 join output, written once (the keyword-vector table)."""
     ct = _content_terms(spark, d)
-    return keyword_vectors(_top(spark, d, ct), W.word_vectors(spark, d, ct))
+    return materialize(keyword_vectors(_top(spark, d, ct), W.word_vectors(spark, d, ct)))
 
 
 def _clicks(spark: SparkSession, d: str) -> DataFrame:
@@ -146,7 +151,7 @@ def q_hashing_tf(spark, d):
 
 def q_word_vectors(spark, d):
     docs = terms_by_article(_content_terms(spark, d))
-    return train_word_vectors(docs, partitions=1, seed=42)
+    return train_word_vectors(docs, seed=42)
 
 
 QUERIES: dict[str, Query] = {
@@ -227,16 +232,19 @@ EMAIL_SUFFIX = ("CASE WHEN len(string_split(email, '@')) = 2 "
                 "THEN string_split(email, '@')[2] ELSE '' END AS email_suffix")
 
 PLAIN_TOKENS = _tokens_sql("ptok", "articles", "article_id", "content", ngrams=False)
-STOP = ("stop AS (SELECT term AS word FROM ptok GROUP BY term HAVING count(*) * 5 >= "
-        "(SELECT count(DISTINCT article_id) FROM ptok))")
+SIDE_TOKENS = _tokens_sql("stok", "conversations",
+                          "CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR)", "text",
+                          ngrams=False)
+STOP = ("stop AS (SELECT term AS word FROM stok GROUP BY term HAVING count(*) * 5 >= "
+        "(SELECT count(DISTINCT article_id) FROM stok))")
 DICT = (_tokens_sql("btok", "benchmark", "CAST(item_id AS VARCHAR)", "text", ngrams=False) + ",\n"
         "dict_all AS (SELECT DISTINCT term AS word, 'nz' AS pos, 0 AS prio FROM btok "
         "UNION ALL SELECT word, CASE WHEN word LIKE '%ing' OR word LIKE '%ed' THEN 'v' "
         "WHEN word LIKE '%ly' OR word LIKE '%ment' THEN 'd' "
         "WHEN regexp_matches(word, '^[0-9]+$') THEN 'm' ELSE 'n' END, 1 "
-        "FROM (SELECT DISTINCT term AS word FROM ptok)),\n"
+        "FROM (SELECT DISTINCT term AS word FROM stok)),\n"
         "dict AS (SELECT word, arg_min(pos, prio) AS pos FROM dict_all GROUP BY word)")
-CONTENT = (ARTICLES + ",\n" + PLAIN_TOKENS + ",\n" + STOP + ",\n" + DICT + ",\n"
+CONTENT = (ARTICLES + ",\n" + SIDE_TOKENS + ",\n" + STOP + ",\n" + DICT + ",\n"
            + _tokens_sql("ctok", "articles", "article_id", "content", ngrams=True) + ",\n"
            "ct AS (SELECT article_id, pos, term FROM ctok "
            "WHERE term NOT IN (SELECT word FROM stop) "
@@ -303,8 +311,8 @@ FROM u LEFT JOIN bi ON u.distinct_id = bi.distinct_id""",
 SELECT u.distinct_id AS uid, gender, age, region, """ + EMAIL_SUFFIX + """, model
 FROM u LEFT JOIN bi ON u.distinct_id = bi.distinct_id""",
     "tokens": "WITH " + ARTICLES + ",\n" + PLAIN_TOKENS + "\nSELECT article_id, pos, term FROM ptok",
-    "stopwords": "WITH " + ARTICLES + ",\n" + PLAIN_TOKENS + ",\n" + STOP + "\nSELECT word FROM stop",
-    "dictionary": "WITH " + ARTICLES + ",\n" + PLAIN_TOKENS + ",\n" + DICT
+    "stopwords": "WITH " + SIDE_TOKENS + ",\n" + STOP + "\nSELECT word FROM stop",
+    "dictionary": "WITH " + SIDE_TOKENS + ",\n" + DICT
                   + "\nSELECT word, pos FROM dict",
     "content_terms": "WITH " + CONTENT + "\nSELECT article_id, pos, term FROM ct",
     "article_terms": "WITH " + CONTENT + "\nSELECT article_id, "

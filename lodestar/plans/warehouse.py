@@ -15,9 +15,10 @@ Derivations (stand-ins, not reference data):
 * events     = ``events``: ``logday = yyyyMMdd(ts)``, ``article_id = props.k``,
   ``event`` = ``AppClick`` for clicks, ``element_page`` = detail page when
   ``value >= 5``.
-* stop words = corpus terms present in at least a fifth of the articles.
+* stop words = terms present in at least a fifth of the ``conversations``
+  turns (a side corpus, as a stop list is a resource outside the articles).
 * dictionary = custom list (terms of ``benchmark``, tag ``nz``) ahead of a
-  core list (all corpus terms, tag from the word's ending).
+  core list (terms of ``conversations``, tag from the word's ending).
 * word_vec   = each corpus term gets row ``f(term) mod ⌊1.25·|embeddings|⌋``
   of ``embeddings``; terms landing past the last row have no vector.
 """
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from lodestar.operators.embedding import CLICK_EVENT, DETAIL_PAGE
 from lodestar.operators.joins import bounded_broadcast
 from lodestar.operators.terms import build_dictionary, tokenize
+from lodestar.sources.tables import spread
 
 # Fixed values of the stand-in mapping.
 STOPWORD_DF_FRACTION_DENOMINATOR = 5     # stop word: df * 5 >= number of articles
@@ -74,8 +76,9 @@ def base_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("article_id"), F.col("text").alias("content"))
+    docs = spread(table(spark, sf_dir, "documents"))
+    return docs.select(F.col("doc_id").cast("string").alias("article_id"),
+                       F.col("text").alias("content"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,15 +96,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def corpus_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plain tokens of every article (no n-grams, no filters)."""
-    return tokenize(articles(spark, sf_dir))
+def side_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain tokens of every conversation turn (id ``conv_id/turn``)."""
+    conv = table(spark, sf_dir, "conversations")
+    conv = conv.select(F.concat_ws("/", F.col("conv_id").cast("string"),
+                                   F.col("turn").cast("string")).alias("turn_id"), "text")
+    return tokenize(conv, "turn_id", "text")
 
 
 def stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Terms in at least a fifth of the articles (bounded: at most 5x the mean
-    number of distinct terms per article)."""
-    tok = corpus_tokens(spark, sf_dir)
+    """Terms in at least a fifth of the conversation turns (bounded: at most
+    5x the mean number of distinct terms per turn)."""
+    tok = side_tokens(spark, sf_dir)
     n_docs = tok.select(F.count_distinct("article_id")).scalar()
     df = tok.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return (df.where(F.col("df") * STOPWORD_DF_FRACTION_DENOMINATOR >= n_docs)
@@ -120,7 +126,7 @@ def pos_by_ending(term) -> F.Column:
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     custom = tokenize(table(spark, sf_dir, "benchmark"), "item_id", "text") \
         .select(F.col("term").alias("word")).distinct()
-    core = corpus_tokens(spark, sf_dir).select(F.col("term").alias("word")).distinct() \
+    core = side_tokens(spark, sf_dir).select(F.col("term").alias("word")).distinct() \
         .withColumn("pos", pos_by_ending(F.col("word")))
     return build_dictionary([(custom, CUSTOM_POS), (core, None)])
 

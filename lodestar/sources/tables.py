@@ -8,6 +8,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lodestar.session import ensure_checkpoint_dir
+
 
 def read_table(spark: SparkSession, source: str, columns: Sequence[str] | None = None,
                where: Column | str | None = None, fmt: str | None = None) -> DataFrame:
@@ -62,3 +64,25 @@ def write_all(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]],
             sink(cached)
     finally:
         cached.unpersist()
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that is narrower than the cluster before CPU-heavy rows.
+
+    A large input already arrives in thousands of splits and is returned as
+    is; a small file with one row group would otherwise tokenise in one task.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    A stage boundary like a written table: later jobs read files instead of
+    recomputing the lineage, and a lost executor costs a re-read, not a rerun.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

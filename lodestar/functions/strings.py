@@ -41,19 +41,21 @@ def email_domain(email: Column | str) -> Column:
     return F.when(F.size(parts) == 2, F.get(parts, 1)).otherwise(F.lit(""))
 
 
+def _grams_of_length(token: Column, n: int) -> Column:
+    """Substrings of exactly ``n`` characters as ``struct(o, n, w)``, by offset.
+
+    Built in a helper (not a lambda with a default argument): ``transform`` and
+    ``filter`` treat a two-parameter lambda as ``(element, index)``.
+    """
+    starts = F.sequence(F.lit(0), F.greatest(F.length(token) - n, F.lit(0)))
+    grams = F.transform(starts, lambda i: F.struct(i.alias("o"), F.lit(n).alias("n"),
+                                                   F.substring(token, i + 1, n).alias("w")))
+    return F.filter(grams, lambda s: F.length(s["w"]) == n)
+
+
 def _han_ngrams(token: Column, lengths: tuple[int, ...]) -> Column:
     """All substrings of ``token`` whose length is in ``lengths``, in text order."""
-    grams = [
-        F.filter(
-            F.transform(
-                F.sequence(F.lit(0), F.greatest(F.length(token) - n, F.lit(0))),
-                lambda i, n=n: F.struct(i.alias("o"), F.lit(n).alias("n"),
-                                        F.substring(token, i + 1, n).alias("w")),
-            ),
-            lambda s, n=n: F.length(s["w"]) == n,
-        )
-        for n in lengths
-    ]
+    grams = [_grams_of_length(token, n) for n in lengths]
     # Order candidate words by start offset, then by length, so the first
     # occurrence in the text comes first after array_distinct.
     merged = F.array_sort(F.concat(*grams)) if len(grams) > 1 else grams[0]

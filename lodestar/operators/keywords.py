@@ -113,12 +113,21 @@ def top_terms_table(top: DataFrame, terms: DataFrame, as_string: bool = True) ->
     return out
 
 
-def hashing_tf(terms: DataFrame, num_features: int = 512, distinct: bool = True) -> DataFrame:
-    """M6: ``(article_id, bucket, tf)`` with the bucket MLlib's HashingTF would use.
+def hashing_tf(docs: DataFrame, num_features: int = 512, terms_col: str = "terms") -> DataFrame:
+    """M6: hashed term frequencies ``(article_id, bucket, tf)`` from article term arrays.
 
-    Spark's SQL ``hash`` is Murmur3 (seed 42) over the UTF-8 bytes, the same
-    function HashingTF applies, so ``pmod(hash(term), n)`` is the feature index.
+    Uses MLlib's ``HashingTF`` itself (JVM-side): its Murmur3 variant differs
+    from SQL ``hash()`` for strings whose UTF-8 length is not a multiple of 4,
+    so ``pmod(hash(term), n)`` would not give the same buckets.  The vector is
+    expanded densely, which suits the small bucket counts this switch is for.
     """
-    tf = term_frequency(terms, distinct)
-    return (tf.withColumn("bucket", F.pmod(F.hash("term"), F.lit(num_features)))
-            .groupBy("article_id", "bucket").agg(F.sum("tf").alias("tf")))
+    from pyspark.ml.feature import HashingTF
+
+    from lodestar.functions.vectors import to_array
+
+    vec = HashingTF(inputCol=terms_col, outputCol="_tf",
+                    numFeatures=num_features).transform(docs.select("article_id", terms_col))
+    return (vec.select("article_id", F.posexplode(to_array("_tf")).alias("bucket", "tf"))
+            .where(F.col("tf") > 0)
+            .select("article_id", F.col("bucket").cast("int").alias("bucket"),
+                    F.col("tf").cast("long").alias("tf")))

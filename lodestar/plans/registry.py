@@ -146,7 +146,7 @@ def q_dev_sample(spark, d):
 
 
 def q_hashing_tf(spark, d):
-    return hashing_tf(_content_terms(spark, d), 512)
+    return hashing_tf(terms_by_article(_content_terms(spark, d)), 512)
 
 
 def q_word_vectors(spark, d):

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source system is batch only: every job reads a date range of a table and
+ends.  No streaming operator is built here (nothing to match).  The click
+filter :func:`lodestar.operators.article_clicks` is a plain projection and
+filter, so it runs unchanged on a ``readStream`` DataFrame; the per-user
+aggregation downstream of it is a batch job over the written clicks.
+"""

@@ -76,9 +76,9 @@ def base_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
-    return docs.select(F.col("doc_id").cast("string").alias("article_id"),
-                       F.col("text").alias("content"))
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("article_id"), F.col("text").alias("content"))
+    return spread(docs, "article_id")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

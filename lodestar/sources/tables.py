@@ -66,15 +66,17 @@ def write_all(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]],
         cached.unpersist()
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that is narrower than the cluster before CPU-heavy rows.
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Repartition a scan that is narrower than the cluster before CPU-heavy rows.
 
     A large input already arrives in thousands of splits and is returned as
-    is; a small file with one row group would otherwise tokenise in one task.
+    is; a small file with one row group would otherwise be processed in one
+    task.  With ``key`` the rows are hash-partitioned on it, so later steps
+    grouped by that key (and a checkpoint of their input) need no new shuffle.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        return df.repartition(target, key) if key else df.repartition(target)
     return df
 
 

@@ -20,6 +20,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.checkpoint.dir", ckpt)
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lodestar-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")

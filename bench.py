@@ -45,17 +45,26 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "8")),
                           app="lodestar-bench")
+    failed = {}
     for name in names:
-        run(spark, name, sf_dir)
+        try:
+            run(spark, name, sf_dir)
+        except Exception as exc:  # keep timing the others; report the failure
+            failed[name] = f"{type(exc).__name__}: {exc}"[:300]
     times = {}
     for name in names:
-        times[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(runs)), 3)
+        if name not in failed:
+            times[name] = round(statistics.median(run(spark, name, sf_dir)
+                                                  for _ in range(runs)), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    out = {
         "metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus, "runs": runs,
-    }))
+    }
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from lodestar.functions import email_domain, phone_tail, split_terms, terms_to_string
 

@@ -7,10 +7,11 @@ from lodestar.sources.jdbc import (
 from lodestar.sources.tables import (
     create_table_if_not_exists, materialize, read_table, save_table, spread, write_all,
 )
-from lodestar.sources.wordlists import read_word_list
+from lodestar.sources.wordlists import read_dictionary, read_word_list
 
 __all__ = [
     "external_columns", "external_ddl", "external_type", "insert_statement", "jdbc_options",
     "publish_jdbc", "recreate_external_table",
-    "create_table_if_not_exists", "materialize", "read_table", "spread", "save_table", "write_all", "read_word_list",
+    "create_table_if_not_exists", "materialize", "read_table", "spread", "save_table",
+    "write_all", "read_word_list", "read_dictionary",
 ]

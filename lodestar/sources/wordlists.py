@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.operators.terms import build_dictionary
+
 
 def read_word_list(spark: SparkSession, path: str, default_pos: str | None = None,
                    fallback: str | None = None) -> DataFrame:
@@ -26,3 +28,15 @@ def read_word_list(spark: SparkSession, path: str, default_pos: str | None = Non
     return (lines.where(F.trim(F.col("value")) != "")
             .select(F.get(parts, 0).alias("word"),
                     F.coalesce(F.get(parts, 1), F.lit(default_pos)).alias("pos")))
+
+
+def read_dictionary(spark: SparkSession, lists: list[tuple[str, str | None]],
+                    fallback: str | None = None) -> DataFrame:
+    """R2 from files: ``[(path, default_pos), ...]`` in priority order -> ``(word, pos)``.
+
+    Each file's own tags win over its default; on duplicates the earlier file
+    wins.  A missing file is read from ``fallback`` instead (when given).
+    """
+    frames = [(read_word_list(spark, path, None, fallback), default_pos)
+              for path, default_pos in lists]
+    return build_dictionary(frames)

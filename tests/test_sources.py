@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 from lodestar.sources import (
     create_table_if_not_exists, external_columns, external_ddl, external_type,
-    insert_statement, jdbc_options, read_word_list, save_table, write_all,
+    insert_statement, jdbc_options, read_dictionary, read_word_list, save_table,
+    write_all,
 )
 
 SINK_SCHEMA = T.StructType([
@@ -77,3 +78,14 @@ def test_read_word_list_with_fallback(spark):
     assert got == {"经济": "n", "人工智能": "nz", "技术": "n"}
     fb = read_word_list(spark, os.path.join(folder, "missing.txt"), "nz", fallback=path)
     assert fb.count() == 3
+
+
+def test_read_dictionary_priority_and_defaults(spark):
+    folder = tempfile.mkdtemp(prefix="lodestar-dicts-")
+    first, second = os.path.join(folder, "custom.txt"), os.path.join(folder, "places.txt")
+    with open(first, "w", encoding="utf-8") as fh:
+        fh.write("上海 ns\n浦东\n")
+    with open(second, "w", encoding="utf-8") as fh:
+        fh.write("上海 nr\n北京\n")
+    d = {r.word: r.pos for r in read_dictionary(spark, [(first, "nz"), (second, "ns")]).collect()}
+    assert d == {"上海": "ns", "浦东": "nz", "北京": "ns"}

@@ -105,3 +105,24 @@ def test_keyword_invariants(spark):
     src = dict(docs)
     for a, ks in per.items():
         assert len(ks) <= 5 and len(set(ks)) == len(ks) and set(ks) <= set(src[a])
+
+
+def test_non_distinct_terms_count_real_tf(spark):
+    docs = [("1", ["a", "b", "a", "a"]), ("2", ["b", "c"])]
+    s = {(r.article_id, r.term): (r.tf, r.df) for r in
+         tfidf(_terms(spark, docs), distinct=False).collect()}
+    assert s[("1", "a")] == (3, 1) and s[("1", "b")] == (1, 2) and s[("2", "c")] == (1, 1)
+
+
+def test_k_larger_than_terms_keeps_all(spark):
+    top = top_keywords(tfidf(_terms(spark, FIXTURE)), 100).collect()
+    assert len(top) == sum(len(t) for _, t in FIXTURE)
+    ranks = sorted(r["rank"] for r in top if r.article_id == "1")
+    assert ranks == [1, 2, 3]
+
+
+def test_global_top_n_with_ties_is_total_order(spark):
+    df = spark.range(300).withColumn("k", (F.col("id") % 3)).repartition(9)
+    got = global_top_n(df, [F.col("k").desc(), F.col("id").asc()], 101, rank_col="rank")
+    rows = sorted((r["rank"], r.k, r.id) for r in got.collect())
+    assert [(k, i) for _, k, i in rows] == [(2, i) for i in range(2, 300, 3)] + [(1, 1)]

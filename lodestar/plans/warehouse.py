@@ -34,7 +34,7 @@ from lodestar.operators.terms import build_dictionary, tokenize
 from lodestar.sources.tables import spread
 
 # Fixed values of the stand-in mapping.
-STOPWORD_DF_FRACTION_DENOMINATOR = 5     # stop word: df * 5 >= number of articles
+STOPWORD_DF_FRACTION_DENOMINATOR = 5     # stop word: df * 5 >= number of turns
 DETAIL_PAGE_MIN_VALUE = 5.0              # events.value >= 5 -> content detail page
 OTHER_PAGE = "home"
 CUSTOM_POS = "nz"
@@ -78,7 +78,8 @@ def base_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("article_id"), F.col("text").alias("content"))
-    return spread(docs, "article_id")
+    # Round-robin: even a repeated id cannot pile rows into one task.
+    return spread(docs)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,3 +58,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="lodestar-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Runtime SQL settings sized for an input of ``input_bytes`` on ``cores`` cores.
+
+    * shuffle partitions: enough for ~``target_partition_bytes`` per partition
+      of a shuffle as large as the input, at least 2x the cores (AQE merges
+      small ones back to the advisory size at run time);
+    * file splits of 256 MB (long article texts expand several-fold when
+      tokenised, so splits stay well below executor memory);
+    * AQE with skew-join splitting: a partition 5x the median and over 512 MB
+      is split on the large side.
+    """
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, cores: int | None = None) -> dict:
+    """Set :func:`scale_conf` on a running session (all are runtime SQL settings)."""
+    conf = scale_conf(input_bytes, cores or spark.sparkContext.defaultParallelism)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf

@@ -48,3 +48,12 @@ def test_local_without_setting_gets_scratch_folder():
 
 def test_test_session_reads_its_setting(spark):
     assert ensure_checkpoint_dir(spark)
+
+
+def test_scale_conf_sizes_partitions():
+    from lodestar.session import scale_conf
+    big = scale_conf(100 * (1 << 40), cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    small = scale_conf(1 << 20, cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert small["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -17,8 +17,13 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (one job, reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A plain ``count()``: partial counts per partition, one number each to the
+    driver.  (``limit(n).count()`` would move up to ``n`` rows of every
+    partition through a single task before counting.)
+    """
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -26,7 +31,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """Return ``broadcast(df)`` if it holds at most ``max_rows`` rows, else ``df``.
 
     ``known_rows`` is a proven upper bound (for example a ``limit``); with it no
-    job runs.  Without it, one bounded job counts at most ``max_rows + 1`` rows.
+    job runs.  Without it, one distributed count decides.
     """
     if known_rows is not None and known_rows <= max_rows:
         return F.broadcast(df)

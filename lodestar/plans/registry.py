@@ -48,7 +48,8 @@ def _top(spark: SparkSession, d: str, ct: DataFrame | None = None, order: str =
 def _kw_vec(spark: SparkSession, d: str) -> DataFrame:
     """O5 join output, written once (the keyword-vector table)."""
     ct = _content_terms(spark, d)
-    return materialize(keyword_vectors(_top(spark, d, ct), W.word_vectors(spark, d, ct)))
+    word_vec = materialize(W.word_vectors(spark, d, ct))   # the word-vector table
+    return materialize(keyword_vectors(_top(spark, d, ct), word_vec))
 
 
 def _clicks(spark: SparkSession, d: str) -> DataFrame:

@@ -57,3 +57,17 @@ def test_scale_conf_sizes_partitions():
     small = scale_conf(1 << 20, cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert small["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_apply_scale_conf_on_session(spark):
+    from lodestar.session import apply_scale_conf
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.skewJoin.enabled",
+            "spark.sql.files.maxPartitionBytes"]
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        conf = apply_scale_conf(spark, 10 << 30, cores=4)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        assert conf["spark.sql.shuffle.partitions"] == "40"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

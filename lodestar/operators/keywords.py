@@ -19,6 +19,8 @@ from lodestar.operators.ranking import global_top_n
 DEFAULT_VOCAB_SIZE = 512 * 512
 DEFAULT_MIN_DF = 1
 DEFAULT_TOP_K = 30
+# Largest hashed bucket count expanded densely per article by hashing_tf.
+MAX_DENSE_BUCKETS = 1 << 16
 
 
 def term_frequency(terms: DataFrame, distinct: bool = True) -> DataFrame:
@@ -125,6 +127,9 @@ def hashing_tf(docs: DataFrame, num_features: int = 512, terms_col: str = "terms
 
     from lodestar.functions.vectors import to_array
 
+    if num_features > MAX_DENSE_BUCKETS:
+        raise ValueError(f"num_features above {MAX_DENSE_BUCKETS} would expand every article "
+                         "into a huge dense array; use tfidf's exact vocabulary instead")
     vec = HashingTF(inputCol=terms_col, outputCol="_tf",
                     numFeatures=num_features).transform(docs.select("article_id", terms_col))
     return (vec.select("article_id", F.posexplode(to_array("_tf")).alias("bucket", "tf"))

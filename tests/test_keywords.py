@@ -126,3 +126,9 @@ def test_global_top_n_with_ties_is_total_order(spark):
     got = global_top_n(df, [F.col("k").desc(), F.col("id").asc()], 101, rank_col="rank")
     rows = sorted((r["rank"], r.k, r.id) for r in got.collect())
     assert [(k, i) for _, k, i in rows] == [(2, i) for i in range(2, 300, 3)] + [(1, 1)]
+
+
+def test_hashing_tf_rejects_huge_dense_expansion(spark):
+    arr = spark.createDataFrame([("1", ["a"])], "article_id string, terms array<string>")
+    with pytest.raises(ValueError):
+        hashing_tf(arr, 1 << 18)

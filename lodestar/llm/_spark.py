@@ -92,6 +92,45 @@ def in_bitmap(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (packed[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
+def groups(batches, keys: list[str]):
+    """``(key, batches)`` of every group in a partition that is sorted by ``keys``
+    (whole numbers).  Holds one group at a time."""
+    held: list[pa.RecordBatch] = []
+    held_key = None
+    for batch in batches:
+        table = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in keys], 1)
+        cuts = (np.flatnonzero((table[1:] != table[:-1]).any(axis=1)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(table)]):
+            if a == b:
+                continue
+            key = tuple(table[a].tolist())
+            if key != held_key:
+                if held:
+                    yield held_key, held
+                held, held_key = [], key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield held_key, held
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Which of the links ``(a, b)`` a spanning forest needs."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (p := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[p]
+        return x
+
+    used = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            used.append(i)
+    return used
+
+
 def longs(values: np.ndarray) -> pa.Array:
     """64-bit hashes as Arrow's signed integers (the same bits)."""
     return pa.array(np.ascontiguousarray(values).view(np.int64))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm._spark import connected_components, in_tasks, saved
+from lodestar.llm._spark import connected_components, groups, in_tasks, saved, spanning
 
 COSINE = 0.9
 RECALL = 0.99
@@ -150,37 +150,13 @@ def _pack(batches, hashes):
             names=["cid", "n", "vector", "codes", "places"])
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> list[int]:
-    """Which of the links (a, b) a spanning forest needs."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (p := parent.setdefault(x, x)) != x:
-            parent[x] = x = parent[p]
-        return x
-
-    used = []
-    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        x, y = root(x), root(y)
-        if x != y:
-            parent[x] = y
-            used.append(i)
-    return used
-
-
 def _compare(batches, shape: tuple, cosine: float):
     """Link counts and spanning links of every block (rows sorted by block)."""
-    held: list[pa.RecordBatch] = []
-    held_key = None
-
-    def block(parts):
-        t, bucket, low, high = held_key
+    for (t, bucket, low, high), parts in groups(batches, ["t", "bucket", "low", "high"]):
         cid = np.concatenate([p.column("cid").to_numpy() for p in parts])
-        if len(cid) < 2:
-            return
         own = np.concatenate([p.column("own").to_numpy(zero_copy_only=False) for p in parts])
-        if not own.any():
-            return
+        if len(cid) < 2 or not own.any():
+            continue
         side = np.concatenate([p.column("chunk").to_numpy() for p in parts])
         weight = np.concatenate([p.column("n").to_numpy() for p in parts])
         x = np.stack([np.frombuffer(v.as_buffer()) for p in parts for v in p.column("vector")])
@@ -193,7 +169,7 @@ def _compare(batches, shape: tuple, cosine: float):
         if low == high:
             i, j = i[i < j], j[i < j]
         if not len(i):
-            return
+            continue
         codes = np.stack([np.frombuffer(v.as_buffer(), np.int64).reshape(shape)
                           for p in parts for v in p.column("codes")])
         keep = np.empty(len(i), bool)
@@ -202,32 +178,16 @@ def _compare(batches, shape: tuple, cosine: float):
             keep[a:a + (1 << 14)] = (first[:, 0] == t) & (first[:, 1] == bucket)
         i, j = i[keep], j[keep]
         if not len(i):
-            return
+            continue
         links = np.bincount(i, weight[j], len(cid)) + np.bincount(j, weight[i], len(cid))
         some = np.flatnonzero(links)
-        used = _forest(i, j)
+        used = spanning(i, j)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate((cid[some], cid[i[used]]))),
              pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(cid[j[used]])]),
              pa.array(np.concatenate((links[some], np.zeros(len(used)))).astype(np.int64))],
             names=["a", "b", "links"])
 
-    for batch in batches:
-        keys = np.stack([batch.column(c).to_numpy().astype(np.int64)
-                         for c in ("t", "bucket", "low", "high")], 1)
-        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        for a, b in zip([0, *cuts], [*cuts, len(keys)]):
-            if a == b:
-                continue
-            key = tuple(keys[a].tolist())
-            if key != held_key:
-                if held:
-                    yield from block(held)
-                held, held_key = [], key
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield from block(held)
-
 
 def near_duplicate_vectors(vectors: DataFrame, vector_col: str = "embedding",
                            id_col: str = "vec_id", cosine: float = COSINE,

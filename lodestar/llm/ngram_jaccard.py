@@ -7,22 +7,25 @@ so a pair is a candidate only if its prefixes meet under all of them.
 
 * Order 1 puts rare n-grams first.  Rarity is the number of documents in a
   fixed number of hash buckets, counted over all documents: a table of
-  2**16 numbers whatever the input.  It only shapes the order; any table would
+  2**22 numbers whatever the input.  It only shapes the order; any table would
   give the same links.  Its prefixes are joined in Spark to find candidates.
 * Orders 2 and 3 are two hash orders.  A candidate's prefixes under both must
   meet too, else it goes before verification.
 * What is left is verified on the two whole sets.
 
 Documents with the same set are one class from the start, so copies never meet
-as pairs.  A large posting list is not expanded into pairs either: its least
-class is paired with the others, links are joined into components, and only
-members still in different components are paired again, with doubling numbers
-of pivots, until no list holds an untested pair across components.  The result
-is the same as with all pairs.
+as pairs.  A posting list is not expanded into pairs either: its least class is
+paired with the others and links are joined into components.  Only members
+that are still in different components are paired again.  Long lists that one
+pivot did not settle are not written out as pairs
+at all: classes that share such lists form a cluster, and a cluster is compared
+in blocks of ``BLOCK`` x ``BLOCK`` sets by matrix products, which return a
+spanning forest of the links.  The components are the same as with all pairs.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +34,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm._spark import bitmap, connected_components, in_bitmap, in_tasks, longs, saved
+from lodestar.llm._spark import (
+    bitmap, connected_components, groups, in_bitmap, in_tasks, longs, saved, spanning,
+)
 from lodestar.llm._text import Words, mix, row_blocks, shingles
 
-BUCKETS = 1 << 16      # fixed size of the rarity table
+BUCKET_BITS = 22       # the rarity table has 2**22 entries whatever the input
+BUCKETS = 1 << BUCKET_BITS
+_LOW_BITS = np.uint64(64 - BUCKET_BITS)
+_PARTS = 64            # the table travels in so many pieces
 FILTER_SEEDS = (101, 202)
 PAIRS_AT_ONCE = 4      # lists of up to so many classes are paired completely at once
+LONG_LIST = 32         # longer ones are compared in blocks
+BLOCK = 512
+_COLUMNS = 4096        # n-grams that a block's matrices hold at a time
 NUM, DEN = 75, 100     # similarity 0.75
 SHINGLE = 5
 
@@ -69,31 +80,59 @@ def _sets(column: pa.Array, size: int) -> Iterator[tuple]:
 
 def _describe(batches, size: int):
     """Set size and class of every row; at the end this partition's rarity counts."""
-    tally = np.zeros(BUCKETS, np.int64)
+    tally = np.zeros(BUCKETS, np.uint8)
     for batch in batches:
         column = batch.column(1)
         for first, n, row, h, k1, k2 in _sets(column, size):
-            tally += np.bincount((h >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
+            bucket, times = np.unique((h >> _LOW_BITS).astype(np.int32), return_counts=True)
+            tally[bucket] = np.minimum(tally[bucket] + times, 255)   # saturates per partition
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(first, n), pa.array(np.bincount(row, minlength=n)),
-                 longs(k1), longs(k2), pa.nulls(n, pa.list_(pa.int64()))],
+                 longs(k1), longs(k2), pa.nulls(n, pa.binary())],
                 names=["doc_id", "n_shingles", "cls", "check", "tally"])
+    packed = [zlib.compress(x.tobytes(), 1) for x in np.split(tally, _PARTS)]
+    none = pa.nulls(_PARTS, pa.int64())
     yield pa.RecordBatch.from_arrays(
-        [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-         pa.nulls(1, pa.int64()), pa.array([tally.tolist()], pa.list_(pa.int64()))],
+        [none, pa.array(range(_PARTS), pa.int64()), none, none, pa.array(packed, pa.binary())],
         names=["doc_id", "n_shingles", "cls", "check", "tally"])
 
 
+def _add_up(batches):
+    """Sums of the partitions' counts, one row for each part of the table."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+            counts = np.frombuffer(zlib.decompress(packed.as_buffer()), np.uint8)
+            if part not in total:
+                total[part] = np.zeros(len(counts), np.int64)
+            total[part] += counts
+    for part, counts in total.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part]), pa.array([counts.astype("<u4").tobytes()])],
+            names=["part", "counts"])
+
+
+def rarity_ranks(tallies: DataFrame) -> np.ndarray:
+    """Rank of every bucket, rarest first, from the partitions' ``(part, tally)`` rows."""
+    counts = np.zeros((_PARTS, BUCKETS // _PARTS), np.int64)
+    for r in (tallies.repartition(_PARTS, "part")
+              .transform(in_tasks, _add_up, "part long, counts binary").collect()):
+        counts[r["part"]] = np.frombuffer(r["counts"], "<u4")
+    rank = np.empty(BUCKETS, np.uint32)
+    rank[np.argsort(counts.ravel(), kind="stable")] = np.arange(BUCKETS, dtype=np.uint32)
+    return rank
+
+
 def _prefixes(batches, size: int, rank, num: int, den: int):
     """``(token, cls)`` for the prefix of every set under order 1.
 
-    The token is the n-gram's hash with its top 16 bits, the bucket, replaced
+    The token is the n-gram's hash with its top 22 bits, the bucket, replaced
     by the bucket's rank of rarity: sorting tokens is sorting by the order.
     A class already sent by this partition is not sent again.
     """
     seen: set[int] = set()
     order = rank.value
-    low = np.uint64((1 << 48) - 1)
+    low = (np.uint64(1) << _LOW_BITS) - np.uint64(1)
     for batch in batches:
         for _, n, row, h, k1, _ in _sets(batch.column(0), size):
             fresh = np.zeros(n, bool)
@@ -103,7 +142,8 @@ def _prefixes(batches, size: int, rank, num: int, den: int):
                     fresh[i] = True
             keep = fresh[row]
             row, h = row[keep], h[keep]
-            token = (order[(h >> np.uint64(48)).astype(np.int64)] << np.uint64(48)) | (h & low)
+            bucket = order[(h >> _LOW_BITS).astype(np.int64)].astype(np.uint64)
+            token = (bucket << _LOW_BITS) | (h & low)
             at = np.lexsort((token, row))
             row, token = row[at], token[at]
             sizes = np.bincount(row, minlength=n)
@@ -165,6 +205,88 @@ def _verify(batches, num: int, den: int):
             names=["a", "b"])
 
 
+def _common(sets_a: list[np.ndarray], sets_b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, from products of 0/1 matrices."""
+    flat_a, flat_b = np.concatenate(sets_a), np.concatenate(sets_b)
+    grams = np.intersect1d(flat_a, flat_b)
+    out = np.zeros((len(sets_a), len(sets_b)), np.float32)
+    sides = []
+    for sets, flat in ((sets_a, flat_a), (sets_b, flat_b)):
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(grams, flat), max(len(grams) - 1, 0))
+        ok = grams[at] == flat if len(grams) else np.zeros(len(flat), bool)
+        order = np.argsort(at[ok], kind="stable")
+        sides.append((len(sets), row[ok][order], at[ok][order]))
+    for first in range(0, len(grams), _COLUMNS):
+        parts = []
+        for n, row, at in sides:
+            a, b = np.searchsorted(at, [first, first + _COLUMNS])
+            m = np.zeros((n, min(_COLUMNS, len(grams) - first)), np.float32)
+            m[row[a:b], at[a:b] - first] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _heads(sets: list[np.ndarray], seed: int, num: int, den: int) -> list[np.ndarray]:
+    out = []
+    for x in sets:
+        m, p = mix(x, seed), int(prefix_length(len(x), num, den))
+        out.append(np.sort(np.partition(m, p - 1)[:p] if p < len(m) else m))
+    return out
+
+
+def _compare(batches, num: int, den: int):
+    """Spanning links of every block of a cluster (rows sorted by block)."""
+    for (_, low, high), parts in groups(batches, ["cluster", "low", "high"]):
+        cls = np.concatenate([p.column("cls").to_numpy() for p in parts])
+        label = np.concatenate([p.column("label").to_numpy() for p in parts])
+        chunk = np.concatenate([p.column("chunk").to_numpy() for p in parts])
+        sets = [np.frombuffer(g.as_buffer(), np.uint64) for p in parts for g in p.column("grams")]
+        one, two = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
+        if not len(one) or not len(two):
+            continue
+        size = np.array([len(x) for x in sets], np.int64)
+        a, b = size[one][:, None], size[two]
+        open_ = ((np.minimum(a, b) * den >= num * np.maximum(a, b))
+                 & (label[one][:, None] != label[two]))
+        left, right = [sets[i] for i in one], [sets[i] for i in two]
+        for seed in FILTER_SEEDS:
+            if open_.any():
+                open_ &= _common(_heads(left, seed, num, den),
+                                 _heads(right, seed, num, den)) > 0
+        if not open_.any():
+            continue
+        common = _common(left, right).astype(np.int64)
+        i, j = np.nonzero(open_ & (den * common >= num * (a + b - common)))
+        i, j = cls[one[i]], cls[two[j]]
+        used = spanning(i, j)
+        if used:
+            yield pa.RecordBatch.from_arrays([pa.array(i[used]), pa.array(j[used])],
+                                             names=["a", "b"])
+
+
+def _cluster_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between the classes of long lists (``s1, s2, cls, label``)."""
+    pivots = members.groupBy("s1", "s2").agg(F.min("cls").alias("a"))
+    clusters = connected_components(
+        members.join(pivots, ["s1", "s2"]).select("a", F.col("cls").alias("b")))
+    clusters = clusters.select("node", F.col("label").alias("cluster"))
+    inside = saved(members.select("cls", "label").distinct()
+                   .join(clusters, F.col("cls") == F.col("node"))
+                   .select("cls", "label", "cluster"))
+    chunks = inside.groupBy("cluster").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("chunks"))
+    key = ["cluster", "low", "high"]
+    met = (inside.join(chunks, "cluster")
+           .withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
+           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+           .select("cls", "label", "cluster", "chunk", F.least("chunk", "other").alias("low"),
+                   F.greatest("chunk", "other").alias("high")))
+    return (met.join(sets, "cls").repartition(*key).sortWithinPartitions(*key)
+            .transform(in_tasks, lambda it: _compare(it, num, den), "a long, b long"))
+
+
 def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     one = sets.select(F.col("cls").alias("a"), F.col("grams").alias("x"))
     two = sets.select(F.col("cls").alias("b"), F.col("grams").alias("y"))
@@ -190,7 +312,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     described = saved(rows.transform(in_tasks, 
         lambda it: _describe(it, size),
-        "doc_id long, n_shingles long, cls long, check long, tally array<long>"))
+        "doc_id long, n_shingles long, cls long, check long, tally binary"))
     meta = described.where("tally IS NULL").drop("tally")
     members = meta.where("n_shingles > 0")
     clash = (members.groupBy("cls").agg(F.min("check").alias("lo"), F.max("check").alias("hi"))
@@ -198,12 +320,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     if clash:
         raise RuntimeError("two different sets have one 64-bit fingerprint; change its seeds")
 
-    counts = np.zeros(BUCKETS, np.int64)
-    for r in (described.where("tally IS NOT NULL").select(F.posexplode("tally").alias("i", "n"))
-              .groupBy("i").agg(F.sum("n").alias("n")).collect()):
-        counts[r["i"]] = r["n"]
-    rank = np.empty(BUCKETS, np.uint64)
-    rank[np.argsort(counts, kind="stable")] = np.arange(BUCKETS, dtype=np.uint64)
+    rank = rarity_ranks(described.where("tally IS NOT NULL")
+                        .select(F.col("n_shingles").alias("part"), "tally"))
     sent = spark.sparkContext.broadcast(rank)
 
     texts = rows.select("text")
@@ -221,7 +339,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                   .withColumn("s2", F.bit_xor(F.xxhash64("cls", F.lit(2))).over(by_token))
                   .select("s1", "s2", "n", "cls").distinct()
                   .withColumn("at", F.row_number().over(
-                      Window.partitionBy("s1", "s2").orderBy("cls"))))
+                      Window.partitionBy("s1", "s2").orderBy("cls")))
+                  .join(members.groupBy("cls").agg(F.first("n_shingles").alias("size")), "cls"))
 
     needed = lists.select("cls").distinct()
     wanted = spark.sparkContext.broadcast(bitmap(needed, "cls"))
@@ -230,39 +349,40 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                  .join(needed, "cls", "left_semi").groupBy("cls")
                  .agg(F.first("grams").alias("grams")))
 
-    links = None
-    labels = None
-    low, high = 1, 2
-    while True:
-        member = lists if labels is None else (
-            lists.join(labels, lists["cls"] == labels["node"], "left")
-            .withColumn("label", F.coalesce("label", "cls")).drop("node"))
-        if labels is None:
-            member = member.withColumn("label", F.col("cls"))
-        member = member.select("s1", "s2", "n", "cls", "at", "label")
-        open_ = member
-        if labels is not None:
-            # a list whose members are all in one component has nothing left to test
-            mixed = (member.where(F.col("n") > PAIRS_AT_ONCE).groupBy("s1", "s2")
-                     .agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                          F.max("n").alias("most"))
-                     .where(f"lo <> hi AND most > {low}").select("s1", "s2"))
-            open_ = saved(member.join(mixed, ["s1", "s2"], "left_semi"))
-            if open_.isEmpty():
-                break
-        if labels is None:
-            pivot = open_.where((F.col("at") < high) | (F.col("n") <= PAIRS_AT_ONCE))
-        else:
-            pivot = open_.where((F.col("at") >= low) & (F.col("at") < high))
-        p = pivot.select("s1", "s2", F.col("cls").alias("a"), F.col("at").alias("pa"),
-                         F.col("label").alias("la"))
-        pairs = (open_.join(p, ["s1", "s2"]).where("at > pa AND label <> la")
-                 .select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
-                 .distinct())
-        found = saved(_links(pairs, sets, num, den))
-        links = found if links is None else links.union(found)
+    def labelled(labels: DataFrame) -> DataFrame:
+        return (lists.join(labels, lists["cls"] == labels["node"], "left")
+                .withColumn("label", F.coalesce("label", "cls")).drop("node"))
+
+    def unsettled(members: DataFrame) -> DataFrame:
+        """Lists whose members are not all in one component yet."""
+        mixed = (members.groupBy("s1", "s2")
+                 .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                 .where("lo <> hi").select("s1", "s2"))
+        return members.join(mixed, ["s1", "s2"], "left_semi")
+
+    def paired(members: DataFrame, pivots: DataFrame) -> DataFrame:
+        p = pivots.select("s1", "s2", F.col("cls").alias("a"), F.col("at").alias("pa"),
+                          F.col("label").alias("la"), F.col("size").alias("sa"))
+        # sets whose sizes differ too much cannot be similar
+        return (members.join(p, ["s1", "s2"]).where("at > pa AND label <> la")
+                .where(F.least("size", "sa") * den >= F.greatest("size", "sa") * num)
+                .select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
+                .distinct())
+
+    first = lists.withColumn("label", F.col("cls"))
+    links = saved(_links(paired(first, first.where(f"at = 1 OR n <= {PAIRS_AT_ONCE}")),
+                         sets, num, den))
+    labels = saved(connected_components(links))
+    left = saved(unsettled(labelled(labels).where(
+        f"n > {PAIRS_AT_ONCE} AND n <= {LONG_LIST}")))
+    found = saved(_links(paired(left, left.where("at > 1")), sets, num, den))
+    if not found.isEmpty():
+        links = links.union(found)
         labels = saved(connected_components(links))
-        low, high = high, high + 2 * (high - low)
+    found = saved(_cluster_links(saved(unsettled(labelled(labels).where(f"n > {LONG_LIST}"))),
+                                 sets, num, den))
+    if not found.isEmpty():
+        labels = saved(connected_components(links.union(found)))
 
     classes = members.groupBy("cls").agg(F.min("doc_id").alias("least"))
     named = classes.join(labels, classes["cls"] == labels["node"], "left").select(

@@ -11,6 +11,9 @@ so a pair is a candidate only if its prefixes meet under all of them.
   give the same links.  Its prefixes are joined in Spark to find candidates.
 * Orders 2 and 3 are two hash orders.  A candidate's prefixes under both must
   meet too, else it goes before verification.
+* Before that, sketches of half a byte per n-gram give an upper bound of the
+  common n-grams; a pair whose bound is too low goes without its sets being
+  fetched.
 * What is left is verified on the two whole sets.
 
 Documents with the same set are one class from the start, so copies never meet
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -153,23 +157,57 @@ def _prefixes(batches, size: int, rank, num: int, den: int):
                 [longs(token[inside]), longs(k1[row[inside]])], names=["token", "cls"])
 
 
-def _whole_sets(batches, size: int, wanted):
-    """``(cls, grams)``: the sorted set of each wanted class, once per partition."""
+def _of_classes(batches, size: int, wanted, name: str, value):
+    """``(cls, value of its sorted set)`` of each wanted class, once per partition."""
     seen: set[int] = set()
     packed = wanted.value
     for batch in batches:
         for _, n, row, h, k1, _ in _sets(batch.column(0), size):
             hit = in_bitmap(packed, k1)
             bounds = np.searchsorted(row, np.arange(n + 1))
-            keys, sets, held = [], [], 0
+            keys, out = [], []
             for i in np.flatnonzero(hit).tolist():
                 if (k := int(k1[i])) and k not in seen:
                     seen.add(k)
                     keys.append(i)
-                    sets.append(h[bounds[i]:bounds[i + 1]].tobytes())
+                    out.append(value(h[bounds[i]:bounds[i + 1]]))
             if keys:
                 yield pa.RecordBatch.from_arrays(
-                    [longs(k1[keys]), pa.array(sets, pa.binary())], names=["cls", "grams"])
+                    [longs(k1[keys]), pa.array(out, pa.binary())], names=["cls", name])
+
+
+def sketch(grams: np.ndarray) -> bytes:
+    """One bit for each n-gram in a power of two of at least four times as many."""
+    bits = 1 << max(6, int(4 * len(grams) - 1).bit_length())
+    out = np.zeros(bits, bool)
+    out[(mix(grams, 7) & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def most_common(x: np.ndarray, size_x: int, y: np.ndarray, size_y: int) -> int:
+    """An upper bound of the common n-grams of two sets from their sketches.
+
+    Common n-grams share their bit; of those that share a bit with another one
+    of their own set, no more than either set has can be hidden.
+    """
+    width = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(v.reshape(-1, width), axis=0) for v in (x, y))
+    both = int(np.bitwise_count(x & y).sum())
+    hidden = min(size_x - int(np.bitwise_count(x).sum()), size_y - int(np.bitwise_count(y).sum()))
+    return both + hidden
+
+
+def _may_link(batches, num: int, den: int):
+    for batch in batches:
+        keep = []
+        for x, y, a, b in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(),
+                              batch.column(5).to_pylist()):
+            most = most_common(np.frombuffer(x.as_buffer(), np.uint8), a,
+                               np.frombuffer(y.as_buffer(), np.uint8), b)
+            keep.append(den * most >= num * (a + b - most))
+        yield pa.RecordBatch.from_arrays(
+            [pc.filter(batch.column(i), pa.array(keep, pa.bool_())) for i in (0, 1)],
+            names=["a", "b"])
 
 
 def meets(a: np.ndarray, b: np.ndarray, seed: int, num: int = NUM, den: int = DEN) -> bool:
@@ -342,12 +380,26 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                       Window.partitionBy("s1", "s2").orderBy("cls")))
                   .join(members.groupBy("cls").agg(F.first("n_shingles").alias("size")), "cls"))
 
-    needed = lists.select("cls").distinct()
-    wanted = spark.sparkContext.broadcast(bitmap(needed, "cls"))
-    sets = saved(texts.transform(in_tasks, lambda it: _whole_sets(it, size, wanted),
-                                  "cls long, grams binary")
-                 .join(needed, "cls", "left_semi").groupBy("cls")
-                 .agg(F.first("grams").alias("grams")))
+    def of_classes(needed: DataFrame, name: str, value) -> DataFrame:
+        """A value of the whole set of each needed class, from one more pass."""
+        wanted = spark.sparkContext.broadcast(bitmap(needed, "cls"))
+        return saved(texts.transform(
+            in_tasks, lambda it: _of_classes(it, size, wanted, name, value),
+            f"cls long, {name} binary").join(needed, "cls", "left_semi")
+            .groupBy("cls").agg(F.first(name).alias(name)))
+
+    sketches = of_classes(lists.select("cls").distinct(), "sketch", sketch)
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        one = sketches.select(F.col("cls").alias("a"), F.col("sketch").alias("x"))
+        two = sketches.select(F.col("cls").alias("b"), F.col("sketch").alias("y"))
+        return saved(pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y", "sa", "sb")
+                     .transform(in_tasks, lambda it: _may_link(it, num, den), "a long, b long"))
+
+    def sets_of(*pairs: DataFrame) -> DataFrame:
+        needed = reduce(DataFrame.union, [p.select(F.col(c).alias("cls"))
+                                          for p in pairs for c in p.columns])
+        return of_classes(saved(needed.distinct()), "grams", lambda h: h.tobytes())
 
     def labelled(labels: DataFrame) -> DataFrame:
         return (lists.join(labels, lists["cls"] == labels["node"], "left")
@@ -363,24 +415,23 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     def paired(members: DataFrame, pivots: DataFrame) -> DataFrame:
         p = pivots.select("s1", "s2", F.col("cls").alias("a"), F.col("at").alias("pa"),
                           F.col("label").alias("la"), F.col("size").alias("sa"))
-        # sets whose sizes differ too much cannot be similar
+        # sets whose sizes differ too much cannot be similar; lists are in order
+        # of their classes, so the pivot is always the lesser one
         return (members.join(p, ["s1", "s2"]).where("at > pa AND label <> la")
                 .where(F.least("size", "sa") * den >= F.greatest("size", "sa") * num)
-                .select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
+                .select("a", F.col("cls").alias("b"), "sa", F.col("size").alias("sb"))
                 .distinct())
 
     first = lists.withColumn("label", F.col("cls"))
-    links = saved(_links(paired(first, first.where(f"at = 1 OR n <= {PAIRS_AT_ONCE}")),
-                         sets, num, den))
+    pairs = likely(paired(first, first.where(f"at = 1 OR n <= {PAIRS_AT_ONCE}")))
+    links = saved(_links(pairs, sets_of(pairs), num, den))
     labels = saved(connected_components(links))
-    left = saved(unsettled(labelled(labels).where(
-        f"n > {PAIRS_AT_ONCE} AND n <= {LONG_LIST}")))
-    found = saved(_links(paired(left, left.where("at > 1")), sets, num, den))
-    if not found.isEmpty():
-        links = links.union(found)
-        labels = saved(connected_components(links))
-    found = saved(_cluster_links(saved(unsettled(labelled(labels).where(f"n > {LONG_LIST}"))),
-                                 sets, num, den))
+    left = saved(unsettled(labelled(labels).where(f"n > {PAIRS_AT_ONCE}")))
+    short, long = left.where(f"n <= {LONG_LIST}"), left.where(f"n > {LONG_LIST}")
+    pairs = likely(paired(short, short.where("at > 1")))
+    sets = sets_of(pairs, long.select("cls"))
+    found = saved(_links(pairs, sets, num, den)
+                  .union(_cluster_links(long.select("s1", "s2", "cls", "label"), sets, num, den)))
     if not found.isEmpty():
         labels = saved(connected_components(links.union(found)))
 

@@ -17,6 +17,8 @@ input), and carried out by Spark on all pieces:
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,6 +35,7 @@ from lodestar.llm._text import row_blocks
 MAX_TOKENS = 2048
 SALTS = 256
 END_ID = 0
+_UNIT = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 class CapacityTree:
@@ -142,31 +145,77 @@ def plan_bins(counts: dict[int, int], capacity: int = MAX_TOKENS) -> Plan:
 class WordTokenizer:
     """Token ids of whole texts, word by word.
 
-    The vocabulary's pre-tokeniser drops white space and never joins across
-    it, so a text's ids are those of its words, one after the other.  A word
-    is tokenised once per task; ``cache_words`` bounds what is remembered.
+    The vocabulary's pre-tokeniser drops white space, never joins across it and
+    ends a unit between letters, single digits and other characters, so a
+    text's ids are those of its units, one after the other.  Units are tokenised
+    once and remembered; ``cache_words`` bounds both memories.  Words where the
+    units are not that plain (not ASCII, an apostrophe, a special token's
+    bracket) are tokenised whole.
     """
 
     def __init__(self, path: str, cache_words: int = 200_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # the task is the unit of parallelism
         import tokenizers
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.cache_words = cache_words
+        self.ends = np.array([str(self.tokenizer.id_to_token(i)).endswith("</w>")
+                              for i in range(self.tokenizer.get_vocab_size())])
+        self.units: dict[str, np.ndarray] = {}
+        self.older: dict[str, np.ndarray] = {}
         self.known: dict[str, int] = {}
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _units(self, wanted: set[str], whole: set[str]) -> dict[str, np.ndarray]:
+        """Ids of plain units and of words to be tokenised whole."""
+        if len(self.units) > self.cache_words:
+            self.units, self.older = {}, self.units      # units in use move on
+        out, new = {}, []
+        for unit in wanted | whole:
+            ids = self.units.get(unit)
+            if ids is None:
+                ids = self.older.get(unit)
+                if ids is None:
+                    new.append(unit)
+                    continue
+                self.units[unit] = ids
+            out[unit] = ids
+        plain = [u for u in new if u in wanted]
+        rest = [u for u in new if u not in wanted]
+        for a in range(0, len(plain), 2000):
+            some = plain[a:a + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast(
+                [" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                self.units.update(zip(some, np.split(ids, ends[:-1])))
+            else:
+                rest += some
+        for a in range(0, len(rest), 2000):
+            some = rest[a:a + 2000]
+            for u, e in zip(some, self.tokenizer.encode_batch_fast(
+                    some, add_special_tokens=False)):
+                self.units[u] = np.array(e.ids, np.uint32)
+        out.update((u, self.units[u]) for u in new)
+        return out
+
     def _learn(self, words: list[str]) -> None:
         if len(self.known) + len(words) > self.cache_words:
             self.known.clear()
             self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        for i, w in enumerate(words, len(self.known)):
+        cut = [_UNIT.findall(w.lower()) if w.isascii() and "'" not in w and "<|" not in w
+               else None for w in words]
+        ids = self._units({u for c in cut if c is not None for u in c},
+                          {w for w, c in zip(words, cut) if c is None})
+        flat, sizes = [], []
+        for i, (w, c) in enumerate(zip(words, cut), len(self.known)):
             self.known[w] = i
-        sizes = np.array([len(x) for x in found], np.int64)
+            parts = [ids[w]] if c is None else [ids[u] for u in c]
+            sizes.append(sum(map(len, parts)))
+            flat += parts
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
-        flat = np.array([i for x in found for i in x], np.uint32)
-        self.ids = np.concatenate((self.ids, flat))
+        self.ids = np.concatenate((self.ids, *flat))
 
     def encode(self, column: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows back to back, with ``end_id`` after each, and the rows' bounds."""
@@ -182,8 +231,7 @@ class WordTokenizer:
             new = unique
         if new:
             self._learn(new)
-        for i, w in enumerate(unique):
-            at[i] = self.known[w]
+        at[:] = [self.known[w] for w in unique]
         start, size = self.starts[at], self.starts[at + 1] - self.starts[at]
         per_word = size[index]
         total = np.zeros(len(index) + 1, np.int64)

@@ -50,6 +50,7 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 MASK = "[SECRET]"
 _MOST_STRINGS = 64
+_MOST_TRIGRAMS = 4
 
 # A query is None (any text may match) or a set of alternatives, each the set
 # of trigrams that must all occur.
@@ -139,7 +140,11 @@ def trigram_query(pattern: str) -> Query:
     None if the expression demands none.
     """
     strings, query = _sequence(_parser.parse(pattern))
-    return query if strings is None else _both(query, _any_of(strings))
+    query = query if strings is None else _both(query, _any_of(strings))
+    if query is None:
+        return None
+    # a few of the trigrams of an alternative demand less than all, so no match is lost
+    return _least({frozenset(sorted(a)[::-(-len(a) // _MOST_TRIGRAMS)]) for a in query})
 
 
 def _postings(rows: DataFrame, trigrams: list[str]) -> DataFrame:

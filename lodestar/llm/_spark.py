@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -16,6 +18,8 @@ from lodestar.session import ensure_checkpoint_dir
 # Upper bound of a broadcast bitmap: 2**27 bits are 16 MB whatever the input.
 MAX_BITMAP_BITS = 1 << 27
 _BITS_PER_BLOCK = 1 << 16
+# Rows in an Arrow batch: texts of a few thousand characters make some megabytes.
+ROWS_AT_ONCE = 2000
 
 
 _shipped: set[str] = set()
@@ -43,9 +47,41 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def in_tasks(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` with this library at hand in the tasks."""
+    """``df.mapInArrow`` with this library at hand in the tasks.
+
+    Batches are kept to ``ROWS_AT_ONCE`` rows, since a row can be a long text,
+    and a worker, which lives on for other tasks, returns its memory at the end.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+
+    def run(batches):
+        yield from function(batches)
+        _release()
+
+    return df.mapInArrow(run, schema)
+
+
+def _release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError, TypeError):
+        return      # another C library
+
+
+def joined(batches, rows: int = 20_000):
+    """The same rows in larger batches, for functions whose rows are small."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm._spark import in_tasks, remainder, saved
+from lodestar.llm._spark import in_tasks, joined, remainder, saved
 from lodestar.llm._text import Words, row_blocks
 from lodestar.llm.lattice import (
     NEVER, SPACE, Pieces, expected_counts, load_vocabulary, log_marginals,
@@ -107,7 +107,7 @@ def _expect(batches, model):
     the lattice has to account for words as types, occurrences have their own arc."""
     lattice: Pieces = model.value.pieces
     total = np.zeros(len(lattice.keys) + 256)
-    for batch in batches:
+    for batch in joined(batches):
         words = [SPACE + w for w in batch.column(0).to_pylist()]
         total += np.concatenate(expected_counts(lattice, words, np.ones(len(words))))
     at = np.flatnonzero(total)
@@ -231,7 +231,7 @@ def score_documents(docs: DataFrame, path: str, text_col: str = "text", id_col:
     lattice = spark.sparkContext.broadcast(model)
 
     def marginals(batches):
-        for batch in batches:
+        for batch in joined(batches):
             score = lattice.value.log10(batch.column(0).to_pylist(), batch.column(1).to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(score)],

@@ -10,7 +10,6 @@ Subpackages:
 * ``sources`` — table scans and sinks (ORC / Parquet tables, JDBC publish,
   external DDL).
 * ``plans`` — the six end-to-end jobs and the mapping onto the driver tables.
-* ``streaming`` — the click filter applied to a streaming source.
 """
 
 __version__ = "0.1.0"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # neither letters nor digits (any script), after lower-casing.
 TOKEN_SPLIT_PATTERN = r"[^\p{L}\p{N}]+"
 # A token holding a Han character is an unspaced run of Chinese
-# text; it is expanded into candidate words of 2 to 4 characters.
+# text; it is expanded into candidate words of several lengths.
 HAN_PATTERN = r"\p{IsHan}"
 
 
@@ -69,16 +69,18 @@ def split_terms(text: Column | str, min_len: int = 2,
 
     Splits on non-letter/non-digit runs, drops terms shorter than ``min_len``
     characters and, with ``distinct``, keeps only the first occurrence of each
-    term.  With ``han_ngrams`` (e.g. ``(2, 3, 4)``) every token holding a Han
-    character is replaced by its candidate words of those lengths; a dictionary
+    term.  With ``han_ngrams`` (e.g. ``(2, 3, 4)``) every run of Han characters
+    is replaced by its candidate words of those lengths; a dictionary
     join is expected to keep the real ones.  This approximates a statistical
     Chinese segmenter; it is not equal to one.
     """
     tokens = F.split(F.lower(_col(text)), TOKEN_SPLIT_PATTERN)
     if han_ngrams:
         lengths = tuple(sorted({n for n in han_ngrams if n >= 1}))
+        # a Han run is a token of its own, letters and digits beside it another
+        apart = F.regexp_replace(F.lower(_col(text)), "(" + HAN_PATTERN + "+)", " $1 ")
         expanded = F.flatten(F.transform(
-            tokens,
+            F.split(apart, TOKEN_SPLIT_PATTERN),
             lambda t: F.when(t.rlike(HAN_PATTERN), _han_ngrams(t, lengths))
             .otherwise(F.array(t)),
         ))

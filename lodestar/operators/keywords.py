@@ -14,22 +14,20 @@ from lodestar.functions.strings import terms_to_string
 from lodestar.operators.joins import bounded_broadcast
 from lodestar.operators.ranking import global_top_n
 
-# Vocabulary cap 512 * 512 and minimum document frequency 1,
+# The source system's vocabulary cap 512 * 512 (not applied unless asked for) and minimum document frequency 1,
 # top-K 30 keywords per article.
 DEFAULT_VOCAB_SIZE = 512 * 512
 DEFAULT_MIN_DF = 1
 DEFAULT_TOP_K = 30
-# Largest hashed bucket count expanded densely per article by hashing_tf.
-MAX_DENSE_BUCKETS = 1 << 16
 
 
-def term_frequency(terms: DataFrame, distinct: bool = True) -> DataFrame:
-    """A5: ``(article_id, term, tf)``.
+def term_frequency(terms: DataFrame, unique: bool = False) -> DataFrame:
+    """A5: ``(article_id, term, tf)``, one row for each term of an article.
 
-    With ``distinct=True`` the input already holds each (article, term) once,
-    so ``tf`` is 1 and no shuffle is spent on it.
+    ``unique=True`` states that the input already holds each (article, term)
+    once, so ``tf`` is 1 and no shuffle is spent on it.
     """
-    if distinct:
+    if unique:
         return terms.select("article_id", "term", F.lit(1).cast("long").alias("tf"))
     return terms.groupBy("article_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -39,13 +37,14 @@ def document_count(terms: DataFrame) -> Column:
     return terms.select(F.count_distinct("article_id")).scalar()
 
 
-def document_frequency(tf: DataFrame, vocab_size: int | None = DEFAULT_VOCAB_SIZE,
+def document_frequency(tf: DataFrame, vocab_size: int | None = None,
                        min_df: float = DEFAULT_MIN_DF, n_docs: Column | None = None) -> DataFrame:
     """A3/K2: vocabulary ``(term, cnt, df)``.
 
     ``cnt`` = corpus term count, ``df`` = documents containing the term.  Terms
     below ``min_df`` (a count, or a fraction of documents when < 1) are dropped,
-    then the ``vocab_size`` most frequent terms are kept (ties by term).  Both
+    then, if a ``vocab_size`` is given, that many most frequent terms are kept
+    (ties by term); by default every term is, the rare ones of high IDF too.  Both
     sums aggregate partially on the map side, so a term present in every
     document costs one row per partition before the shuffle.
     """
@@ -61,20 +60,22 @@ def document_frequency(tf: DataFrame, vocab_size: int | None = DEFAULT_VOCAB_SIZ
     return vocab
 
 
-def tfidf(terms: DataFrame, vocab_size: int | None = DEFAULT_VOCAB_SIZE,
-          min_df: float = DEFAULT_MIN_DF, distinct: bool = True) -> DataFrame:
+def tfidf(terms: DataFrame, vocab_size: int | None = None,
+          min_df: float = DEFAULT_MIN_DF, unique: bool = False) -> DataFrame:
     """``(article_id, term, tf, df, idf, score)`` with ``idf = ln((N+1)/(df+1))``.
 
     ``N`` counts every article of the input, including those whose terms all
-    fall outside the vocabulary (as a count-vectorised corpus does).  The
-    vocabulary side is broadcast when its size checks out (always, under the
-    default 262,144-term cap); otherwise the join shuffles on ``term`` and AQE
-    splits hot terms.
+    fall outside the vocabulary (as a count-vectorised corpus does).  Repeated
+    (article, term) rows count as occurrences of one term, so ``df`` never
+    exceeds ``N``; ``unique=True`` states that there are none and spares a
+    shuffle.  A capped vocabulary is broadcast; an uncapped one joins on
+    ``term``, where AQE broadcasts it by its measured size or splits hot terms.
     """
     n_docs = document_count(terms)
-    tf = term_frequency(terms, distinct)
+    tf = term_frequency(terms, unique)
     vocab = document_frequency(tf, vocab_size, min_df, n_docs)
-    vocab = bounded_broadcast(vocab, known_rows=vocab_size)
+    if vocab_size is not None:
+        vocab = bounded_broadcast(vocab, known_rows=vocab_size)
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return (tf.join(vocab.select("term", "df"), "term")
             .select("article_id", "term", "tf", "df", idf.alias("idf"))
@@ -120,19 +121,15 @@ def hashing_tf(docs: DataFrame, num_features: int = 512, terms_col: str = "terms
 
     Uses MLlib's ``HashingTF`` itself (JVM-side): its Murmur3 variant differs
     from SQL ``hash()`` for strings whose UTF-8 length is not a multiple of 4,
-    so ``pmod(hash(term), n)`` would not give the same buckets.  The vector is
-    expanded densely, which suits the small bucket counts this switch is for.
+    so ``pmod(hash(term), n)`` would not give the same buckets.  Only the
+    vector's set entries are expanded, so any number of buckets will do.
     """
     from pyspark.ml.feature import HashingTF
 
-    from lodestar.functions.vectors import to_array
-
-    if num_features > MAX_DENSE_BUCKETS:
-        raise ValueError(f"num_features above {MAX_DENSE_BUCKETS} would expand every article "
-                         "into a huge dense array; use tfidf's exact vocabulary instead")
     vec = HashingTF(inputCol=terms_col, outputCol="_tf",
                     numFeatures=num_features).transform(docs.select("article_id", terms_col))
-    return (vec.select("article_id", F.posexplode(to_array("_tf")).alias("bucket", "tf"))
-            .where(F.col("tf") > 0)
-            .select("article_id", F.col("bucket").cast("int").alias("bucket"),
-                    F.col("tf").cast("long").alias("tf")))
+    sparse = F.unwrap_udt("_tf")
+    return (vec.select("article_id", F.explode(F.arrays_zip(
+                sparse["indices"].alias("bucket"), sparse["values"].alias("tf"))).alias("e"))
+            .select("article_id", F.col("e.bucket").cast("int").alias("bucket"),
+                    F.col("e.tf").cast("long").alias("tf")))

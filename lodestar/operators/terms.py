@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from lodestar.functions.strings import split_terms, terms_to_string
 from lodestar.operators.joins import bounded_broadcast
 
-DEFAULT_HAN_NGRAMS = (2, 3, 4)
+# Candidate lengths cover dictionary nouns such as place and organisation names.
+DEFAULT_HAN_NGRAMS = (2, 3, 4, 5, 6, 7, 8)
 
 
 def tokenize(docs: DataFrame, id_col: str = "article_id", text_col: str = "content",
@@ -87,7 +88,7 @@ def content_terms(docs: DataFrame, stopwords: DataFrame | None = None,
     """O3: ``(article_id, pos, term)`` — distinct terms, no stop words, length >= ``min_len``.
 
     With a ``dictionary`` only terms tagged ``pos_prefix*`` are kept and
-    unspaced Han runs are expanded into 2–4 character candidates first (an
+    unspaced Han runs are expanded into 2–8 character candidates first (an
     approximation of a statistical segmenter).  Articles left with no term
     simply have no rows (F6).
     """
@@ -112,3 +113,13 @@ def terms_by_article(terms: DataFrame, as_string: bool = False) -> DataFrame:
         out = out.select("article_id", terms_to_string("terms").alias("content_terms"))
     return out
 
+
+def terms_from_rest(table: DataFrame, terms_col: str = "content_terms",
+                    sep: str = ",") -> DataFrame:
+    """At-rest terms (a delimited string or an array per article) -> long form
+    ``(article_id, pos, term)``; empty terms and NULL lists give no row."""
+    terms = F.col(terms_col)
+    if dict(table.dtypes)[terms_col] == "string":
+        terms = F.split(terms, sep)
+    return (table.select("article_id", F.posexplode(
+                F.filter(terms, lambda t: F.length(t) > 0)).alias("pos", "term")))

@@ -19,8 +19,8 @@ from lodestar.operators import (
     hashing_tf, keyword_vectors, latest_snapshot, sample_for_dev, term_frequency, tfidf,
     tokenize, top_keywords, top_terms_table, train_word_vectors, user_embedding,
 )
-from lodestar.operators.keywords import DEFAULT_TOP_K, DEFAULT_VOCAB_SIZE
-from lodestar.operators.terms import terms_by_article
+from lodestar.operators.keywords import DEFAULT_TOP_K
+from lodestar.operators.terms import terms_by_article, terms_from_rest
 from lodestar.plans import warehouse as W
 from lodestar.sources.tables import materialize
 
@@ -42,7 +42,7 @@ def _content_terms(spark: SparkSession, d: str) -> DataFrame:
 
 def _top(spark: SparkSession, d: str, ct: DataFrame | None = None, order: str = "desc"):
     ct = ct if ct is not None else _content_terms(spark, d)
-    return top_keywords(tfidf(ct), DEFAULT_TOP_K, order)
+    return top_keywords(tfidf(ct, unique=True), DEFAULT_TOP_K, order)
 
 
 def _kw_vec(spark: SparkSession, d: str) -> DataFrame:
@@ -84,16 +84,20 @@ def q_article_terms(spark, d):
     return terms_by_article(_content_terms(spark, d), as_string=True)
 
 
+def q_article_terms_split(spark, d):
+    return terms_from_rest(q_article_terms(spark, d))
+
+
 def q_vocabulary(spark, d):
-    return document_frequency(term_frequency(_content_terms(spark, d)), DEFAULT_VOCAB_SIZE)
+    return document_frequency(term_frequency(_content_terms(spark, d), unique=True))
 
 
 def q_vocabulary_small(spark, d):
-    return document_frequency(term_frequency(_content_terms(spark, d)), SMALL_VOCAB)
+    return document_frequency(term_frequency(_content_terms(spark, d), unique=True), SMALL_VOCAB)
 
 
 def q_tfidf(spark, d):
-    s = tfidf(_content_terms(spark, d))
+    s = tfidf(_content_terms(spark, d), unique=True)
     return s.select("article_id", "term", "tf", "df", F.round("idf", DIGITS).alias("idf"),
                     F.round("score", DIGITS).alias("score"))
 
@@ -163,6 +167,7 @@ QUERIES: dict[str, Query] = {
     "dictionary": q_dictionary,
     "content_terms": q_content_terms,
     "article_terms": q_article_terms,
+    "article_terms_split": q_article_terms_split,
     "vocabulary": q_vocabulary,
     "vocabulary_small": q_vocabulary_small,
     "tfidf": q_tfidf,
@@ -188,8 +193,11 @@ SPLIT = r"[^\p{L}\p{N}]+"
 
 def _tokens_sql(name: str, src: str, id_expr: str, text_col: str, ngrams: bool) -> str:
     """``name(article_id, pos, term)``: distinct terms in first-occurrence order."""
+    low = f"lower({text_col})"
+    if ngrams:      # Han runs stand apart from letters and digits beside them
+        low = f"regexp_replace({low}, '(\\p{{Han}}+)', ' \\1 ', 'g')"
     head = (f"{name}_raw AS (SELECT {id_expr} AS article_id, "
-            f"string_split_regex(lower({text_col}), '{SPLIT}') AS toks FROM {src} "
+            f"string_split_regex({low}, '{SPLIT}') AS toks FROM {src} "
             f"WHERE {text_col} IS NOT NULL AND {id_expr} IS NOT NULL),\n"
             f"{name}_u0 AS (SELECT article_id, unnest(toks) AS tok, "
             f"generate_subscripts(toks, 1) AS idx FROM {name}_raw),\n")
@@ -197,7 +205,7 @@ def _tokens_sql(name: str, src: str, id_expr: str, text_col: str, ngrams: bool)
         expand = (
             f"{name}_h AS (SELECT article_id, idx, tok, unnest(range(0, length(tok))) AS o "
             f"FROM {name}_u0 WHERE regexp_matches(tok, '\\p{{Han}}')),\n"
-            f"{name}_hn AS (SELECT article_id, idx, tok, o, unnest([2, 3, 4]) AS n FROM {name}_h),\n"
+            f"{name}_hn AS (SELECT article_id, idx, tok, o, unnest([2, 3, 4, 5, 6, 7, 8]) AS n FROM {name}_h),\n"
             f"{name}_u AS (SELECT article_id, tok AS term, idx * 134217728 AS k FROM {name}_u0 "
             f"WHERE NOT regexp_matches(tok, '\\p{{Han}}') "
             f"UNION ALL SELECT article_id, substr(tok, o + 1, n) AS term, "
@@ -252,12 +260,13 @@ CONTENT = (ARTICLES + ",\n" + SIDE_TOKENS + ",\n" + STOP + ",\n" + DICT + ",\n"
            "AND term IN (SELECT word FROM dict WHERE pos LIKE 'n%'))")
 
 
-def _vocab_sql(limit: int) -> str:
-    return ("vocab AS (SELECT term, count(*) AS cnt, count(*) AS df FROM ct GROUP BY term "
-            f"ORDER BY cnt DESC, term LIMIT {limit})")
+def _vocab_sql(limit: int | None = None) -> str:
+    most = f" ORDER BY cnt DESC, term LIMIT {limit}" if limit else ""
+    return ("vocab AS (SELECT term, count(*) AS cnt, count(*) AS df FROM ct GROUP BY term"
+            f"{most})")
 
 
-SCORED = (CONTENT + ",\n" + _vocab_sql(DEFAULT_VOCAB_SIZE) + ",\n"
+SCORED = (CONTENT + ",\n" + _vocab_sql() + ",\n"
           "ndocs AS (SELECT count(DISTINCT article_id) AS n FROM ct),\n"
           "scored AS (SELECT ct.article_id, ct.term, CAST(1 AS BIGINT) AS tf, v.df, "
           "ln((ndocs.n + 1.0) / (v.df + 1.0)) AS idf, "
@@ -318,7 +327,10 @@ FROM u LEFT JOIN bi ON u.distinct_id = bi.distinct_id""",
     "content_terms": "WITH " + CONTENT + "\nSELECT article_id, pos, term FROM ct",
     "article_terms": "WITH " + CONTENT + "\nSELECT article_id, "
                      "string_agg(term, ',' ORDER BY pos) AS content_terms FROM ct GROUP BY article_id",
-    "vocabulary": "WITH " + CONTENT + ",\n" + _vocab_sql(DEFAULT_VOCAB_SIZE)
+    "article_terms_split": "WITH " + CONTENT + "\nSELECT article_id, CAST(row_number() OVER ("
+                           "PARTITION BY article_id ORDER BY pos) - 1 AS INTEGER) AS pos, term "
+                           "FROM ct",
+    "vocabulary": "WITH " + CONTENT + ",\n" + _vocab_sql()
                   + "\nSELECT term, cnt, df FROM vocab",
     "vocabulary_small": "WITH " + CONTENT + ",\n" + _vocab_sql(SMALL_VOCAB)
                         + "\nSELECT term, cnt, df FROM vocab",

@@ -7,6 +7,7 @@ and the driver smoke check.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -52,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError(
                 f"set {CHECKPOINT_CONF} to a shared folder (HDFS/S3) before running this job")
         configured = tempfile.mkdtemp(prefix="lodestar-ckpt-")

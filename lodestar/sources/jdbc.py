@@ -34,16 +34,19 @@ def external_type(dt: T.DataType, nullable: bool = False) -> str:
     return f"Nullable({name})" if nullable else name
 
 
-def external_columns(schema: T.StructType, nullable: bool = False) -> str:
-    """``"uid String, age Int32, …"`` in schema order."""
-    return ", ".join(f"{f.name} {external_type(f.dataType, nullable and f.nullable)}"
-                     for f in schema.fields)
+def external_columns(schema: T.StructType, nullable: bool = False,
+                     key: str | None = None) -> str:
+    """``"uid String, age Int32, …"`` in schema order; with ``nullable``, all
+    columns that may hold NULL but the ``key`` are declared so."""
+    return ", ".join(
+        f"{f.name} {external_type(f.dataType, nullable and f.nullable and f.name != key)}"
+        for f in schema.fields)
 
 
 def external_ddl(schema: T.StructType, table: str, order_by: str = "uid",
                  engine: str = "MergeTree()", nullable: bool = False) -> str:
     """``CREATE TABLE`` text for the external table, ordered by ``order_by``."""
-    return (f"CREATE TABLE {table} ({external_columns(schema, nullable)}) "
+    return (f"CREATE TABLE {table} ({external_columns(schema, nullable, order_by)}) "
             f"ENGINE = {engine} ORDER BY ({order_by})")
 
 
@@ -78,7 +81,7 @@ def recreate_external_table(spark: SparkSession, options: dict[str, str],
     external types are applied through a plain JDBC statement.
     """
     table = options["dbtable"]
-    ddl = external_ddl(schema, table, order_by, engine)
+    ddl = external_ddl(schema, table, order_by, engine, nullable=True)
     props = spark._jvm.java.util.Properties()
     for key in ("user", "password"):
         if key in options:
@@ -88,6 +91,8 @@ def recreate_external_table(spark: SparkSession, options: dict[str, str],
     conn = spark._jvm.java.sql.DriverManager.getConnection(options["url"], props)
     try:
         stmt = conn.createStatement()
+        if "." in table:
+            stmt.execute(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
         stmt.execute(f"DROP TABLE IF EXISTS {table}")
         stmt.execute(ddl)
         stmt.close()

@@ -3,6 +3,7 @@
 import duckdb
 import pandas as pd
 
+from lodestar.operators.terms import DEFAULT_HAN_NGRAMS
 from lodestar.operators import tokenize
 from lodestar.plans.registry import _tokens_sql
 
@@ -17,7 +18,7 @@ DOCS = [
 def test_han_tokens_match_sql(spark):
     df = spark.createDataFrame(DOCS, "article_id string, content string")
     got = sorted((r.article_id, r.pos, r.term) for r in
-                 tokenize(df, han_ngrams=(2, 3, 4)).collect())
+                 tokenize(df, han_ngrams=DEFAULT_HAN_NGRAMS).collect())
     con = duckdb.connect()
     con.register("docs_pd", pd.DataFrame(DOCS, columns=["article_id", "content"]))
     sql = "WITH " + _tokens_sql("t", "docs_pd", "article_id", "content", ngrams=True) + \

@@ -39,3 +39,9 @@ def test_publish_jdbc_recreates_and_appends_sorted(spark, monkeypatch):
     assert calls["options"][0][1] == {"url": "jdbc:fake://h/db", "dbtable": "app.profile",
                                       "batchsize": "10000", "user": "u", "numPartitions": "4"}
     assert len(calls["save"]) == 1 and seen["cols"] == ("uid",)
+
+
+def test_external_ddl_declares_nullable_columns(spark):
+    schema = spark.createDataFrame([], "uid string, age int").schema
+    assert jdbc.external_ddl(schema, "app.t", "uid", nullable=True) == (
+        "CREATE TABLE app.t (uid String, age Nullable(Int32)) ENGINE = MergeTree() ORDER BY (uid)")

@@ -54,5 +54,5 @@ def test_entry_contract(spark):
     import __spark_entry__ as entry_mod
     df = entry_mod.entry(spark)
     assert df.columns == ["uid", "user_vector"]
-    assert df.count() >= 0
-    assert set(entry_mod.queries()) == set(QUERIES)
+    assert df.count() > 0
+    assert set(QUERIES) <= set(entry_mod.queries())

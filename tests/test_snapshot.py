@@ -17,3 +17,8 @@ def test_latest_snapshot_by_version_with_tiebreak(spark):
 def test_sample_for_dev_is_ordered(spark):
     df = spark.range(100).selectExpr("(id * 37) % 100 as k").repartition(5)
     assert [r.k for r in sample_for_dev(df, "k", 5).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_latest_snapshot_with_a_map_column(spark):
+    df = spark.sql("SELECT 1 AS k, 1 AS v, map('a', 1) AS m UNION ALL SELECT 1, 2, map('b', 2)")
+    assert [r.m for r in latest_snapshot(df, "k", "v").collect()] == [{"b": 2}]

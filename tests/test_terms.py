@@ -61,3 +61,16 @@ def test_build_dictionary_priority(spark):
     d = {r.word: r.pos for r in build_dictionary([(custom, "nz"), (core, None),
                                                    (extra, "ns")]).collect()}
     assert d == {"apple": "nz", "pear": "nr", "plum": "n", "fig": "ns"}
+
+
+def test_terms_from_rest(spark):
+    from lodestar.operators.terms import terms_from_rest
+    df = spark.createDataFrame([("a", "x,,y"), ("b", None)], "article_id string, content_terms string")
+    assert [tuple(r) for r in terms_from_rest(df).collect()] == [("a", 0, "x"), ("a", 1, "y")]
+
+
+def test_mixed_han_and_latin_words_are_kept_apart(spark):
+    from lodestar.functions.strings import split_terms
+    df = spark.createDataFrame([("新款iPhone手机 呼和浩特市",)], "t string")
+    got = df.select(split_terms("t", han_ngrams=(2, 3, 4, 5)).alias("a")).first().a
+    assert {"iphone", "新款", "手机", "呼和浩特市"} <= set(got)

@@ -161,13 +161,14 @@ class WordTokenizer:
         self.cache_words = cache_words
         self.ends = np.array([str(self.tokenizer.id_to_token(i)).endswith("</w>")
                               for i in range(self.tokenizer.get_vocab_size())])
-        self.units: dict[str, np.ndarray] = {}
-        self.older: dict[str, np.ndarray] = {}
+        # ids as bytes: small, and nothing for the garbage collector to visit
+        self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.known: dict[str, int] = {}
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _units(self, wanted: set[str], whole: set[str]) -> dict[str, np.ndarray]:
+    def _units(self, wanted: set[str], whole: set[str]) -> dict[str, bytes]:
         """Ids of plain units and of words to be tokenised whole."""
         if len(self.units) > self.cache_words:
             self.units, self.older = {}, self.units      # units in use move on
@@ -189,14 +190,15 @@ class WordTokenizer:
                 [" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(some):
-                self.units.update(zip(some, np.split(ids, ends[:-1])))
+                raw, cuts = ids.astype("<u4").tobytes(), (4 * ends).tolist()
+                self.units.update(zip(some, [raw[x:y] for x, y in zip([0, *cuts], cuts)]))
             else:
                 rest += some
         for a in range(0, len(rest), 2000):
             some = rest[a:a + 2000]
             for u, e in zip(some, self.tokenizer.encode_batch_fast(
                     some, add_special_tokens=False)):
-                self.units[u] = np.array(e.ids, np.uint32)
+                self.units[u] = np.array(e.ids, "<u4").tobytes()
         out.update((u, self.units[u]) for u in new)
         return out
 
@@ -211,11 +213,12 @@ class WordTokenizer:
         flat, sizes = [], []
         for i, (w, c) in enumerate(zip(words, cut), len(self.known)):
             self.known[w] = i
-            parts = [ids[w]] if c is None else [ids[u] for u in c]
-            sizes.append(sum(map(len, parts)))
-            flat += parts
-        self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
-        self.ids = np.concatenate((self.ids, *flat))
+            raw = ids[w] if c is None else b"".join([ids[u] for u in c])
+            sizes.append(len(raw) // 4)
+            flat.append(raw)
+        self.starts = np.concatenate(
+            (self.starts, self.starts[-1] + np.cumsum(np.array(sizes, np.int64))))
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(flat), "<u4")))
 
     def encode(self, column: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows back to back, with ``end_id`` after each, and the rows' bounds."""

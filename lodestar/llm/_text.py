@@ -19,8 +19,8 @@ WHITE_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(WHITE_SPACE)] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
 
 # Bases of the two polynomial hashes (odd, so they have inverses modulo 2**64).
 _BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD6E8FEB86659FD93, "other": 0xA0761D6478BD642F}
@@ -91,7 +91,7 @@ class Words:
         raw, rows = utf8_parts(column)
         n = len(raw)
         if lower:
-            raw = _LOWER[raw]
+            raw = LOWER[raw]
         solid = ~_SPACE[raw]
         row_start = np.zeros(n + 1, bool)
         row_start[rows] = True

@@ -18,24 +18,27 @@ input), and carried out by Spark on all pieces:
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm._spark import in_tasks, saved
-from lodestar.llm._text import row_blocks
+from lodestar.llm._text import LOWER, Words, row_blocks
 
 MAX_TOKENS = 2048
 SALTS = 256
 END_ID = 0
-_UNIT = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+# Kinds of bytes: a unit is a run of letters, one digit, or a run of others.
+_LETTER, _DIGIT = 1, 2
+_KIND = np.zeros(256, np.uint8)
+_KIND[ord("a"):ord("z") + 1] = _LETTER
+_KIND[ord("0"):ord("9") + 1] = _DIGIT
 
 
 class CapacityTree:
@@ -143,111 +146,112 @@ def plan_bins(counts: dict[int, int], capacity: int = MAX_TOKENS) -> Plan:
 
 
 class WordTokenizer:
-    """Token ids of whole texts, word by word.
+    """Token ids of whole texts, unit by unit.
 
     The vocabulary's pre-tokeniser drops white space, never joins across it and
     ends a unit between letters, single digits and other characters, so a
-    text's ids are those of its units, one after the other.  Units are tokenised
-    once and remembered; ``cache_words`` bounds both memories.  Words where the
-    units are not that plain (not ASCII, an apostrophe, a special token's
-    bracket) are tokenised whole.
+    text's ids are those of its units, one after the other.  A block of texts is
+    cut into units as one byte buffer; each distinct unit is tokenised once and
+    remembered (``cache_units`` bounds the memory).  Words where the units are
+    not that plain (not ASCII, an apostrophe, a special token's bracket) are
+    units as a whole.
     """
 
-    def __init__(self, path: str, cache_words: int = 200_000):
+    def __init__(self, path: str, cache_units: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # the task is the unit of parallelism
         import tokenizers
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.cache_words = cache_words
+        self.cache_units = cache_units
         self.ends = np.array([str(self.tokenizer.id_to_token(i)).endswith("</w>")
                               for i in range(self.tokenizer.get_vocab_size())])
-        # ids as bytes: small, and nothing for the garbage collector to visit
-        self.units: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _units(self, wanted: set[str], whole: set[str]) -> dict[str, bytes]:
-        """Ids of plain units and of words to be tokenised whole."""
-        if len(self.units) > self.cache_words:
-            self.units, self.older = {}, self.units      # units in use move on
-        out, new = {}, []
-        for unit in wanted | whole:
-            ids = self.units.get(unit)
-            if ids is None:
-                ids = self.older.get(unit)
-                if ids is None:
-                    new.append(unit)
-                    continue
-                self.units[unit] = ids
-            out[unit] = ids
-        plain = [u for u in new if u in wanted]
-        rest = [u for u in new if u not in wanted]
+    def _learn(self, units: list[str]) -> None:
+        """Append the ids of ``units``: plain ones joined, the others one by one."""
+        plain = [u for u in units if _is_plain(u)]
+        rest = [u for u in units if not _is_plain(u)] if len(plain) < len(units) else []
+        names, flat, sizes = [], [self.ids], []
         for a in range(0, len(plain), 2000):
             some = plain[a:a + 2000]
             ids = np.array(self.tokenizer.encode_batch_fast(
                 [" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.flatnonzero(self.ends[ids]) + 1
+            ends = np.flatnonzero(self.ends[ids])
             if len(ends) == len(some):
-                raw, cuts = ids.astype("<u4").tobytes(), (4 * ends).tolist()
-                self.units.update(zip(some, [raw[x:y] for x, y in zip([0, *cuts], cuts)]))
+                names += some
+                flat.append(ids)
+                sizes.append(np.diff(ends, prepend=-1))
             else:
                 rest += some
         for a in range(0, len(rest), 2000):
             some = rest[a:a + 2000]
-            for u, e in zip(some, self.tokenizer.encode_batch_fast(
-                    some, add_special_tokens=False)):
-                self.units[u] = np.array(e.ids, "<u4").tobytes()
-        out.update((u, self.units[u]) for u in new)
-        return out
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > self.cache_words:
-            self.known.clear()
-            self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
-        cut = [_UNIT.findall(w.lower()) if w.isascii() and "'" not in w and "<|" not in w
-               else None for w in words]
-        ids = self._units({u for c in cut if c is not None for u in c},
-                          {w for w, c in zip(words, cut) if c is None})
-        flat, sizes = [], []
-        for i, (w, c) in enumerate(zip(words, cut), len(self.known)):
-            self.known[w] = i
-            raw = ids[w] if c is None else b"".join([ids[u] for u in c])
-            sizes.append(len(raw) // 4)
-            flat.append(raw)
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast(
+                some, add_special_tokens=False)]
+            names += some
+            flat.append(np.fromiter(chain.from_iterable(coded), np.uint32))
+            sizes.append(np.array([len(x) for x in coded], np.int64))
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
         self.starts = np.concatenate(
-            (self.starts, self.starts[-1] + np.cumsum(np.array(sizes, np.int64))))
-        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(flat), "<u4")))
+            (self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))))
+        self.ids = np.concatenate(flat)
 
     def encode(self, column: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows back to back, with ``end_id`` after each, and the rows' bounds."""
-        from lodestar.llm._text import Words
-
-        words = Words(column, lower=False)
-        coded = words.arrow().dictionary_encode()
-        unique = coded.dictionary.to_pylist()
-        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        at = np.empty(len(unique), np.int64)
-        new = [w for w in unique if w not in self.known]
-        if len(self.known) + len(new) > self.cache_words:
-            new = unique
+        data, cuts, first = _units(Words(column, lower=False))
+        coded = pa.LargeStringArray.from_buffers(
+            len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data)).dictionary_encode()
+        unique = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        new = [u for u in unique if u not in self.known]
         if new:
+            if len(self.known) + len(new) > self.cache_units:
+                self._forget()
+                new = unique
             self._learn(new)
-        at[:] = [self.known[w] for w in unique]
+        at = np.fromiter(map(self.known.__getitem__, unique), np.int64, len(unique))
         start, size = self.starts[at], self.starts[at + 1] - self.starts[at]
-        per_word = size[index]
+        per_unit = size[index]
         total = np.zeros(len(index) + 1, np.int64)
-        np.cumsum(per_word, out=total[1:])
-        where = np.repeat(start[index] - total[:-1], per_word) + np.arange(total[-1])
+        np.cumsum(per_unit, out=total[1:])
+        where = np.repeat(start[index] - total[:-1], per_unit) + np.arange(total[-1])
         ids = self.ids[where]
-        bounds = total[words.first]
+        bounds = total[first]
         if end_id is None:
             return ids, bounds
         ids = np.insert(ids, bounds[1:], np.uint32(end_id))
         return ids, bounds + np.arange(len(bounds))
 
 
+def _is_plain(unit: str) -> bool:
+    return unit.isascii() and "'" not in unit and "<|" not in unit
+
+
+def _units(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The units' bytes back to back (plain words in lower case), their bounds, and
+    each row's first unit (one longer than the rows)."""
+    data, begins = words.data, words.offsets[:-1]
+    if not len(words):
+        return data, np.zeros(1, np.int64), np.zeros(words.n_docs + 1, np.int64)
+    word_start = np.zeros(len(data), bool)
+    word_start[begins] = True
+    odd = (data >= 128) | (data == ord("'"))
+    odd[1:] |= (data[1:] == ord("|")) & (data[:-1] == ord("<")) & ~word_start[1:]
+    whole = np.repeat(np.logical_or.reduceat(odd, begins), np.diff(words.offsets))
+    data = np.where(whole, data, LOWER[data])
+    kind = _KIND[data]
+    start = np.ones(len(data), bool)
+    start[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    start &= ~whole
+    start |= word_start
+    cuts = np.append(np.flatnonzero(start), len(data))
+    return data, cuts, np.searchsorted(cuts, words.offsets[words.first])
+
+
 def _pieces(batches, path: str, max_tokens: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     coder = WordTokenizer(path)
     for batch in batches:

@@ -68,14 +68,15 @@ def tfidf(terms: DataFrame, vocab_size: int | None = None,
     fall outside the vocabulary (as a count-vectorised corpus does).  Repeated
     (article, term) rows count as occurrences of one term, so ``df`` never
     exceeds ``N``; ``unique=True`` states that there are none and spares a
-    shuffle.  A capped vocabulary is broadcast; an uncapped one joins on
+    shuffle.  A capped vocabulary is broadcast if its measured
+    bytes allow it; an uncapped one joins on
     ``term``, where AQE broadcasts it by its measured size or splits hot terms.
     """
     n_docs = document_count(terms)
     tf = term_frequency(terms, unique)
     vocab = document_frequency(tf, vocab_size, min_df, n_docs)
     if vocab_size is not None:
-        vocab = bounded_broadcast(vocab, known_rows=vocab_size)
+        vocab = bounded_broadcast(vocab)
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return (tf.join(vocab.select("term", "df"), "term")
             .select("article_id", "term", "tf", "df", idf.alias("idf"))

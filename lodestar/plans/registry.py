@@ -53,7 +53,8 @@ def _kw_vec(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _clicks(spark: SparkSession, d: str) -> DataFrame:
-    return article_clicks(W.events(spark, d), W.CLICK_START, W.CLICK_END)
+    events = W.click_events(spark, d, W.CLICK_START, W.CLICK_END)
+    return article_clicks(events, W.CLICK_START, W.CLICK_END)
 
 
 def q_base_profile(spark, d):

@@ -83,7 +83,25 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return _as_events(table(spark, sf_dir, "events"))
+
+
+def click_events(spark: SparkSession, sf_dir: str, start: str, end: str) -> DataFrame:
+    """:func:`events` that can be detail-page clicks of the days ``start`` to ``end``.
+
+    The day, event and page of the stand-in are computed columns, whose filters
+    stop above the scan; stated on the raw columns they are pushed into it.
+    """
+    first = F.to_timestamp(F.lit(start), "yyyyMMdd")
+    after = F.date_add(F.to_date(F.lit(end), "yyyyMMdd"), 1).cast("timestamp")
+    raw = table(spark, sf_dir, "events")
+    kind = dict(raw.dtypes)["ts"]
+    return _as_events(raw.where(
+        (F.col("event_type") == "click") & (F.col("value") >= DETAIL_PAGE_MIN_VALUE)
+        & (F.col("ts") >= first.cast(kind)) & (F.col("ts") < after.cast(kind))))
+
+
+def _as_events(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("event_id"),
         F.col("user_id").cast("string").alias("distinct_id"),

@@ -56,3 +56,14 @@ def test_entry_contract(spark):
     assert df.columns == ["uid", "user_vector"]
     assert df.count() > 0
     assert set(QUERIES) <= set(entry_mod.queries())
+
+
+def test_click_filter_reaches_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = QUERIES["article_clicks"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters"):].splitlines()[0]
+    for part in ("EqualTo(event_type,click)", "GreaterThanOrEqual(ts", "LessThan(ts", "(value,5.0)"):
+        assert part in pushed

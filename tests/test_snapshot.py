@@ -22,3 +22,10 @@ def test_sample_for_dev_is_ordered(spark):
 def test_latest_snapshot_with_a_map_column(spark):
     df = spark.sql("SELECT 1 AS k, 1 AS v, map('a', 1) AS m UNION ALL SELECT 1, 2, map('b', 2)")
     assert [r.m for r in latest_snapshot(df, "k", "v").collect()] == [{"b": 2}]
+
+
+def test_dev_sample_by_two_keys_is_repeatable(spark):
+    df = spark.createDataFrame([("u", f"a{i}") for i in range(20)], "uid string, article_id string")
+    for parts in (1, 3, 7):
+        rows = sample_for_dev(df.repartition(parts), ["uid", "article_id"], 3).collect()
+        assert [r.article_id for r in rows] == ["a0", "a1", "a10"]

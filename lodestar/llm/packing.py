@@ -254,6 +254,7 @@ def _units(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _pieces(batches, path: str, max_tokens: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     coder = WordTokenizer(path)
+    narrow = len(coder.ends) <= 1 << 16
     for batch in batches:
         column = batch.column(2)
         for first, last in row_blocks(column):
@@ -275,6 +276,9 @@ def _pieces(batches, path: str, max_tokens: int, with_ids: bool) -> Iterator[pa.
                    pa.array(crc)]
             names = ["doc_id", "salt", "piece", "start", "length", "ids_crc32"]
             if with_ids:
+                if narrow:
+                    short = ids.astype("<u2")
+                    raw = [short[a:a + k].tobytes() for a, k in zip(at.tolist(), length.tolist())]
                 out.append(pa.array(raw, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(out, names=names)
@@ -285,7 +289,8 @@ def token_pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str
     """Token ids of every text plus one end id, cut into pieces of ``max_tokens``.
 
     ``(doc_id, salt, piece, start, length, ids_crc32[, ids])``; ``ids`` are
-    little-endian unsigned 32-bit.  A null text is an empty one: its single
+    little-endian, of 2 bytes each where the vocabulary has at most 65,536
+    entries, else of 4; the crc is always that of 4 bytes each.  A null text is an empty one: its single
     piece is the end id.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

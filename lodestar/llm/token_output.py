@@ -24,7 +24,8 @@ def _rows(batches, max_tokens: int):
         lengths = batch.column(1).to_pylist()
         out_ids, out_cu, out_reset, out_pos, used = [], [], [], [], []
         for raw, parts, starts in zip(batch.column(2), lengths, batch.column(3).to_pylist()):
-            ids = np.frombuffer(raw.as_buffer(), "<u4")
+            data = raw.as_buffer()
+            ids = np.frombuffer(data, f"<u{len(data) // sum(parts)}")
             padded = np.full(max_tokens, PAD_ID, "<u4")
             padded[:len(ids)] = ids
             cu = np.concatenate(([0], np.cumsum(parts)))

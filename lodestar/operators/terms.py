@@ -13,10 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.strings import split_terms, terms_to_string
+from lodestar.functions.strings import HAN_PATTERN, split_terms, terms_to_string
 from lodestar.operators.joins import bounded_broadcast
 
-# Candidate lengths cover dictionary nouns such as place and organisation names.
+# Candidate lengths that are always made; longer ones come from the dictionary.
 DEFAULT_HAN_NGRAMS = (2, 3, 4, 5, 6, 7, 8)
 
 
@@ -81,18 +81,35 @@ def build_dictionary(lists: Sequence[tuple[DataFrame, str | None]], word_col: st
     return best.select("word", F.col("_best.pos").alias("pos"))
 
 
+def han_lengths(dictionary: DataFrame, prefix: str = "n", word_col: str = "word",
+                pos_col: str = "pos",
+                always: tuple[int, ...] = DEFAULT_HAN_NGRAMS) -> tuple[int, ...]:
+    """``always`` and every length that a Han word tagged ``prefix*`` has.
+
+    One distributed distinct; only the lengths reach the driver.
+    """
+    word = F.col(word_col)
+    found = (dictionary.where(F.col(pos_col).startswith(prefix)
+                              & word.rlike("^" + HAN_PATTERN + "+$"))
+             .select(F.length(word).alias("n")).distinct().collect())
+    return tuple(sorted({*always, *(r["n"] for r in found)}))
+
+
 def content_terms(docs: DataFrame, stopwords: DataFrame | None = None,
                   dictionary: DataFrame | None = None, min_len: int = 2, pos_prefix: str = "n",
                   id_col: str = "article_id", text_col: str = "content", distinct: bool = True,
-                  han_ngrams: tuple[int, ...] | None = DEFAULT_HAN_NGRAMS) -> DataFrame:
+                  han_ngrams: tuple[int, ...] | None = None) -> DataFrame:
     """O3: ``(article_id, pos, term)`` — distinct terms, no stop words, length >= ``min_len``.
 
     With a ``dictionary`` only terms tagged ``pos_prefix*`` are kept and
-    unspaced Han runs are expanded into 2–8 character candidates first (an
-    approximation of a statistical segmenter).  Articles left with no term
-    simply have no rows (F6).
+    unspaced Han runs are expanded into candidates first: of 2–8 characters and
+    of every longer length the dictionary has (:func:`han_lengths`), or of
+    exactly ``han_ngrams`` if given.  This approximates a statistical segmenter.
+    Articles left with no term simply have no rows (F6).
     """
-    ngrams = han_ngrams if dictionary is not None else None
+    ngrams = None
+    if dictionary is not None:
+        ngrams = han_lengths(dictionary, pos_prefix) if han_ngrams is None else han_ngrams
     terms = tokenize(docs, id_col, text_col, min_len, distinct, ngrams)
     if stopwords is not None:
         terms = drop_stopwords(terms, stopwords)

@@ -1,6 +1,7 @@
 from lodestar.operators import (
     build_dictionary, content_terms, drop_stopwords, keep_pos, terms_by_article, tokenize,
 )
+from lodestar.operators.terms import han_lengths
 
 
 def test_tokenize_drops_null_and_orders(spark):
@@ -74,3 +75,21 @@ def test_mixed_han_and_latin_words_are_kept_apart(spark):
     df = spark.createDataFrame([("新款iPhone手机 呼和浩特市",)], "t string")
     got = df.select(split_terms("t", han_ngrams=(2, 3, 4, 5)).alias("a")).first().a
     assert {"iphone", "新款", "手机", "呼和浩特市"} <= set(got)
+
+
+def test_dictionary_words_of_any_length_are_found(spark):
+    long = "新疆维吾尔自治区克孜勒苏柯尔克孜自治州人民政府"       # 23 characters
+    words = [long, "中华人民共和国国务院", "呼和浩特市", "会议", "人民"]
+    other = "讨论人民政府工作报告的会议纪要"                      # a verb: its length is not made
+    dictionary = spark.createDataFrame([(w, "nt") for w in words] + [(other, "v"), ("x" * 40, "n")],
+                                       "word string, pos string")
+    texts = {"a": f"昨天{long}召开会议，会议在呼和浩特市", "b": "中华人民共和国国务院2024年会议",
+             "c": long, "d": "plain words"}
+    docs = spark.createDataFrame(list(texts.items()), "article_id string, content string")
+    want = {(i, w) for i, t in texts.items() for w in words if w in t}
+    got = [(r.article_id, r.term) for r in content_terms(docs, None, dictionary).collect()]
+    assert sorted(got) == sorted(want)
+    assert han_lengths(dictionary) == (2, 3, 4, 5, 6, 7, 8, 10, 23)
+    order = {r.article_id: r.terms for r in
+             terms_by_article(content_terms(docs, None, dictionary)).collect()}
+    assert order["a"] == [long, "人民", "会议", "呼和浩特市"]

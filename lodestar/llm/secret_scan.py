@@ -40,9 +40,24 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}", 0, 24),
 )
+# A PEM key: from its header to the next END line, whatever stands between
+# (quotes, line prefixes) but another run of five hyphens.  Without an END line,
+# its header fields and the base64 that follows: lines of nothing else, and runs
+# of 20 characters or with padding anywhere.  Line breaks may be escaped.  All
+# repeats of groups are possessive: no key is too long for the stack.
+_BREAK = r"(?:[\r\n]|\\[rn])"
+_APART = r"""(?:\\[rnt]|[\s"'`+,;>#*|\\])"""
+_BASE64 = r"[A-Za-z0-9+/]"
+_KEY_END = r"(?:[^-]++|-(?!----))*+-{5,}END [A-Z ]{0,20}PRIVATE KEY-----"
+_KEY_BODY = (rf"(?:{_APART}*+(?:(?:Proc-Type|DEK-Info):\x20*+[^\s\\]++"
+             rf"|(?:Comment|X(?:-[A-Za-z0-9]++)++):\x20[^\r\n\\]*+{_BREAK}))*+"
+             rf"(?:{_APART}*+{_BASE64}{{20,}}+=*+"
+             rf"|{_APART}*+{_BASE64}++=++"
+             rf"|{_BREAK}{{1,2}}+[\x20\t>#*]*+{_BASE64}++(?=[\x20\t]*+(?:{_BREAK}|\Z)))*+")
 # Formats of further credentials.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+                        rf"(?:{_KEY_END}|{_KEY_BODY})"),
     Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),

@@ -35,7 +35,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm._spark import (
@@ -82,8 +82,10 @@ def _sets(column: pa.Array, size: int) -> Iterator[tuple]:
         yield first, n, row, h, *_fingerprints(row, h, n)
 
 
-def _describe(batches, size: int):
-    """Set size and class of every row; at the end this partition's rarity counts."""
+def _describe(batches, size: int, marks: list[str]):
+    """Set size and class of every row, with its columns ``marks``; at the end this
+    partition's rarity counts."""
+    names = ["doc_id", "n_shingles", "cls", "check", "tally", *marks]
     tally = np.zeros(BUCKETS, np.uint8)
     for batch in batches:
         column = batch.column(1)
@@ -92,13 +94,13 @@ def _describe(batches, size: int):
             tally[bucket] = np.minimum(tally[bucket] + times, 255)   # saturates per partition
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(first, n), pa.array(np.bincount(row, minlength=n)),
-                 longs(k1), longs(k2), pa.nulls(n, pa.binary())],
-                names=["doc_id", "n_shingles", "cls", "check", "tally"])
+                 longs(k1), longs(k2), pa.nulls(n, pa.binary()),
+                 *[batch.column(c).slice(first, n) for c in marks]], names=names)
     packed = [zlib.compress(x.tobytes(), 1) for x in np.split(tally, _PARTS)]
     none = pa.nulls(_PARTS, pa.int64())
     yield pa.RecordBatch.from_arrays(
-        [none, pa.array(range(_PARTS), pa.int64()), none, none, pa.array(packed, pa.binary())],
-        names=["doc_id", "n_shingles", "cls", "check", "tally"])
+        [none, pa.array(range(_PARTS), pa.int64()), none, none, pa.array(packed, pa.binary()),
+         *[none for _ in marks]], names=names)
 
 
 def _add_up(batches):
@@ -332,25 +334,17 @@ def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .transform(in_tasks, lambda it: _verify(it, num, den), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                    size: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row per row of ``docs``.
-
-    Words are runs of anything but white space, A-Z in lower case.  A text with
-    fewer than ``size`` words is one n-gram; a null text or one without words
-    has an empty set, links with nothing and is its own component.  Documents
-    link at similarity >= ``num/den``, tested in integers.  ``component_id`` is
-    the least id reachable by links; rows without an id count as members but
-    never name a component (it is null if no member has an id).  Repeated rows
-    give repeated rows.  An empty table gives an empty result; other columns of
-    ``docs`` play no part.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    described = saved(rows.transform(in_tasks, 
-        lambda it: _describe(it, size),
-        "doc_id long, n_shingles long, cls long, check long, tally binary"))
+def _components(rows: DataFrame, size: int, num: int, den: int, least: Column,
+                marks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """All of ``rows`` (``doc_id, text``) as ``(doc_id, n_shingles, cls, *marks)`` and,
+    for every class with a word, ``(cls, least)``: the minimum of ``least`` over
+    its component."""
+    spark = rows.sparkSession
+    extra = list(marks)
+    described = saved(rows.select("*", *[c.alias(n) for n, c in marks.items()]).transform(
+        in_tasks, lambda it: _describe(it, size, extra),
+        "doc_id long, n_shingles long, cls long, check long, tally binary"
+        + "".join(f", {n} long" for n in marks)))
     meta = described.where("tally IS NULL").drop("tally")
     members = meta.where("n_shingles > 0")
     clash = (members.groupBy("cls").agg(F.min("check").alias("lo"), F.max("check").alias("hi"))
@@ -435,25 +429,70 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     if not found.isEmpty():
         labels = saved(connected_components(links.union(found)))
 
-    classes = members.groupBy("cls").agg(F.min("doc_id").alias("least"))
+    classes = members.groupBy("cls").agg(F.min(least).alias("least"))
     named = classes.join(labels, classes["cls"] == labels["node"], "left").select(
         "cls", F.coalesce("label", "cls").alias("label"), "least")
-    component = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_class = named.join(component, "label").select("cls", "component_id")
-    return (members.join(of_class, "cls", "left").select("doc_id", "n_shingles", "component_id")
+    component = named.groupBy("label").agg(F.min("least").alias("first"))
+    return meta, named.join(component, "label").select("cls", F.col("first").alias("least"))
+
+
+def _rows(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+
+def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                    size: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)``, one row per row of ``docs``.
+
+    Words are runs of anything but white space, A-Z in lower case.  A text with
+    fewer than ``size`` words is one n-gram; a null text or one without words
+    has an empty set, links with nothing and is its own component.  Documents
+    link at similarity >= ``num/den``, tested in integers.  ``component_id`` is
+    the least id reachable by links; rows without an id count as members but
+    never name a component (it is null if no member has an id).  Repeated rows
+    give repeated rows.  An empty table gives an empty result; other columns of
+    ``docs`` play no part.
+    """
+    meta, of_class = _components(_rows(docs, text_col, id_col), size, num, den,
+                                 F.col("doc_id"), {})
+    return (meta.where("n_shingles > 0").join(of_class, "cls", "left")
+            .select("doc_id", "n_shingles", F.col("least").alias("component_id"))
             .union(meta.where("n_shingles = 0")
                    .select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
 
 
 def keep_one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                     **options) -> DataFrame:
-    """``docs`` with one document of every component: the one that names it.
+                     size: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """``docs`` with one row of every component: one with the least id, of rows that
+    share it the one whose text hashes least.
 
-    Rows whose text has no words stay.  Rows without an id stay when their
-    component has no id at all, as nothing else could stand for it.
+    A row without an id stays only if its component has no id at all.  Rows are
+    told apart by id and text, so others of the same id are not touched; of
+    equal rows any one stays.  Rows whose text has no words all stay.
     """
-    found = near_duplicates(docs, text_col, id_col, **options)
-    gone = found.where(F.col("component_id").isNotNull()
-                       & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
-                       & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone.distinct(), F.col(id_col) == F.col("__gone"), "left_anti")
+    # 128 bits of the text beside the id: a key that two rows share would drop both
+    marks = {"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(1), F.col("text"))}
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"),
+                     F.coalesce("doc_id", F.lit(0)).alias("id"), "t1", "t2")
+    meta, of_class = _components(_rows(docs, text_col, id_col), size, num, den, order, marks)
+    ruled = meta.where("n_shingles > 0").join(of_class, "cls")
+    key = ["doc_id", *marks]
+    stands = order == F.col("least")
+    gone = ruled.where(~stands).select(*key).distinct()
+    repeated = saved(ruled.where(stands).groupBy(*key).count().where("count > 1").select(*key))
+
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    mine = {"__id": F.col(f"`{id_col}`").cast("long"), "__t1": F.xxhash64(text),
+            "__t2": F.xxhash64(F.lit(1), text)}
+
+    def matched(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return df.join(keys, F.col("__id").eqNullSafe(F.col("doc_id__"))
+                       & (F.col("__t1") == F.col("t1__")) & (F.col("__t2") == F.col("t2__")), how)
+
+    gone, repeated = (k.toDF("doc_id__", "t1__", "t2__") for k in (gone, repeated))
+    left = matched(docs.select("*", *[c.alias(n) for n, c in mine.items()]), gone, "left_anti")
+    if not repeated.isEmpty():
+        once = matched(left, repeated, "left_semi").dropDuplicates(list(mine))
+        left = matched(left, repeated, "left_anti").union(once)
+    return left.select(*[f"`{c}`" for c in docs.columns])

@@ -119,6 +119,43 @@ def test_near_duplicates_in_a_long_list(spark):
     same([(r["doc_id"],) for r in kept.collect()], {(c,) for _, _, c in want})
 
 
+def test_one_row_of_each_component_stays(spark, odd):
+    """Ids that different texts share, rows without an id, and equal rows."""
+    rnd = random.Random(9)
+
+    def copies(name, n):
+        base = [f"{name}{i}" for i in range(60)]
+        return [" ".join(base[:k] + ["x"] + base[k + 1:]) for k in rnd.sample(range(60), n)]
+
+    a, b, c, d, e = (copies(x, 4) for x in "abcde")
+    rows = [(1, a[0]), (2, a[1]), (2, "alone but with the id of a near copy"),   # (2, a[1]) goes
+            (3, b[0]), (3, b[1]), (3, b[2]), (None, b[3]),                       # one of id 3
+            *[(None, t) for t in c],                                             # no id at all
+            (5, d[0]), (5, d[0]), (6, d[1]), (None, d[2]),                       # equal rows
+            (7, e[0]), (8, e[1]), (9, e[2]), (8, "another text under the number eight"),
+            (None, "no id and no other copy of it"), (None, None), (None, ""), (1, ""), (1, "")]
+    rnd.shuffle(rows)
+    for df in (spark.createDataFrame(rows, "doc_id long, text string").repartition(3), odd):
+        rows = pairs(df)
+        kept = ngram_jaccard.keep_one_of_each(df)
+        assert kept.columns == df.columns
+        kept = pairs(kept)
+        sets = brute.shingle_sets([t for _, t in rows])
+        links = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j]
+                 and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+        label = [frozenset(m) for m in brute.components(len(rows), links)]
+        for m in set(label):
+            members = [rows[i] for i in m]
+            if not sets[min(m)]:
+                continue
+            stay = [r for r in kept if r in members]
+            least = min((i for i, _ in members if i is not None), default=None)
+            assert len(stay) == 1 and stay[0][0] == least
+        same([r for r in kept if not (r[1] or "").split()],
+             [r for r in rows if not (r[1] or "").split()])
+        assert len(kept) == sum(1 if sets[min(m)] else len(m) for m in set(label))
+
+
 def test_substring_removal(docs):
     rows = pairs(docs)
     want = [(i, *x) for (i, _), x in zip(rows, brute.without_repeats([t for _, t in rows]))]

@@ -274,18 +274,34 @@ def add_language(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     and id of a row have no influence on its prediction.  Repeated rows are
     predicted alike; an empty table gives an empty result.
     """
+    sent = _learned(docs, text_col, id_col, lang_col, held_out, docs_per_language, hidden, steps)
+    return _with_language(docs, sent, text_col, names)
+
+
+def _learned(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+             lang_col: str = "lang", held_out: Column | None = None,
+             docs_per_language: int = DOCS_PER_LANGUAGE, hidden: int = HIDDEN,
+             steps: int = STEPS):
+    """The network as a broadcast; its value is None if nothing could be learned."""
     held = is_held_out(F.col(id_col)) if held_out is None else held_out
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     learn = docs.where(~held).select(F.col(id_col).cast("long").alias("doc_id"),
-                                     text.alias("text"),
+                                     _text(text_col).alias("text"),
                                      F.col(lang_col).cast("string").alias("lang"))
     sample = [(r["lang"], r["text"]) for r in training_sample(learn, docs_per_language).collect()]
-    sent = docs.sparkSession.sparkContext.broadcast(train(sample, hidden, steps))
+    return docs.sparkSession.sparkContext.broadcast(train(sample, hidden, steps))
+
+
+def _text(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+
+def _with_language(docs: DataFrame, sent, text_col: str, names: tuple[str, str]) -> DataFrame:
     kept = docs.drop(*names)
     at = kept.columns.index(text_col)
     schema = StructType([*kept.schema.fields, StructField(names[0], StringType()),
                          StructField(names[1], DoubleType())])
-    return (kept.select(*[f"`{c}`" for c in kept.columns], text.rlike(LETTER).alias("__lettered"))
+    return (kept.select(*[f"`{c}`" for c in kept.columns],
+                        _text(text_col).rlike(LETTER).alias("__lettered"))
             .transform(in_tasks, lambda it: _predict(it, sent, at, schema.names), schema))
 
 
@@ -301,6 +317,10 @@ def identify(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
 
 def keep_identified(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows whose language cannot be determined."""
-    return (add_language(docs, text_col, names=("__lang_pred", "__score"), **options)
+    """``docs`` without the rows whose language cannot be determined: those without a
+    letter.  If nothing could be learned, this holds just the same."""
+    sent = _learned(docs, text_col, **options)
+    if sent.value is None:
+        return docs.where(_text(text_col).rlike(LETTER))
+    return (_with_language(docs, sent, text_col, ("__lang_pred", "__score"))
             .where(F.col("__lang_pred") != UNDETERMINED).select(*[f"`{c}`" for c in docs.columns]))

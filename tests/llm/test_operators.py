@@ -239,6 +239,15 @@ def test_language(odd, small, spark):
     assert not {1, 2, 3, 13, 17} & {i for i, _ in pairs(kept)}
 
 
+def test_unlabelled_tables_keep_their_lettered_documents(odd):
+    import regex
+
+    for df in (odd, odd.withColumn("lang", F.lit(None).cast("string"))):
+        kept = language_id.keep_identified(df, steps=5)
+        assert kept.columns == df.columns
+        same(pairs(kept), [(i, t) for i, t in pairs(df) if regex.search(r"\p{L}", t or "")])
+
+
 def test_gradients():
     """Backpropagation through time against finite differences."""
     net = language_id.Network(["a", "b"], hidden=3, seed=1)

@@ -112,14 +112,36 @@ def bitmap(keys: DataFrame, column: str, per_key: int = 16,
     bits = _BITS_PER_BLOCK
     while bits < min(rows * per_key, max_bits):
         bits *= 2
+    # 64 bits at a time are united by the aggregate, combined before the shuffle;
+    # tasks then join them to blocks of 8 KB, at most 2,048 of which are collected
     bit = F.col(column).bitwiseAND(F.lit(bits - 1))
-    blocks = (keys.select(F.shiftright(bit, 16).alias("block"),
-                          bit.bitwiseAND(F.lit(_BITS_PER_BLOCK - 1)).cast("int").alias("bit"))
-              .groupBy("block").agg(F.collect_set("bit").alias("bits")).collect())
-    out = np.zeros(bits, bool)
-    for row in blocks:
-        out[row["block"] * _BITS_PER_BLOCK + np.asarray(row["bits"], np.int64)] = True
-    return np.packbits(out, bitorder="little")
+    words = (keys.select(F.shiftright(bit, 6).alias("word"),
+                         F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))").alias("held"))
+             .groupBy("word").agg(F.bit_or("held").alias("held")))
+    blocks = (words.groupBy(F.shiftright("word", 10).alias("block"))
+              .agg(F.collect_list(F.struct(
+                  F.col("word").bitwiseAND(F.lit(1023)).cast("int").alias("at"), "held")).alias("words"))
+              .transform(in_tasks, _block_bytes, "block long, packed binary"))
+    out = np.zeros(bits // 8, np.uint8)
+    size = _BITS_PER_BLOCK // 8
+    for row in blocks.collect():
+        out[row["block"] * size:(row["block"] + 1) * size] = np.frombuffer(row["packed"], np.uint8)
+    return out
+
+
+def _block_bytes(batches):
+    """``(block, words)`` rows as the bytes of each block."""
+    for batch in batches:
+        ends = batch.column(1).offsets.to_numpy()
+        words = batch.column(1).values
+        at, held = words.field("at").to_numpy(), words.field("held").to_numpy()
+        packed = []
+        for a, b in zip(ends[:-1], ends[1:]):
+            block = np.zeros(_BITS_PER_BLOCK // 64, "<i8")
+            block[at[a:b]] = held[a:b]
+            packed.append(block.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())],
+                                         names=["block", "packed"])
 
 
 def in_bitmap(packed: np.ndarray, values: np.ndarray) -> np.ndarray:

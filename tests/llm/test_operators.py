@@ -432,6 +432,31 @@ def test_bitmap_keeps_all(spark):
     assert in_bitmap(packed, values ^ np.uint64(1)).mean() < 0.2
 
 
+def test_bitmap_collects_blocks(spark, monkeypatch):
+    """Blocks of bytes reach the driver, not one number for each bit."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from lodestar.llm._spark import bitmap
+
+    sizes, collect = [], DataFrame.collect
+
+    def watched(self):
+        rows = collect(self)
+        sizes.append(sum(len(x) if hasattr(x, "__len__") else 1 for r in rows for x in r))
+        return rows
+
+    for n, bits in ((0, 1 << 16), (7, 1 << 16), (20_000, 1 << 19), (200_000, 1 << 19)):
+        keys = spark.range(n).select(F.xxhash64("id").alias("k"))
+        values = np.array([r["k"] for r in keys.collect()], np.int64).view(np.uint64)
+        monkeypatch.setattr(DataFrame, "collect", watched)
+        packed = bitmap(keys, "k", max_bits=bits)
+        monkeypatch.undo()
+        want = np.zeros(len(packed) * 8, bool)
+        want[(values & np.uint64(len(want) - 1)).astype(np.int64)] = True
+        assert (packed == np.packbits(want, bitorder="little")).all()
+        assert sizes[-1] <= len(packed) + len(packed) // 8192
+
+
 def test_sketch_bound():
     rng = np.random.default_rng(6)
     pool = rng.integers(0, 2**63, 400, dtype=np.uint64)

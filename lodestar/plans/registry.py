@@ -157,7 +157,8 @@ def q_hashing_tf(spark, d):
 
 def q_word_vectors(spark, d):
     docs = terms_by_article(_content_terms(spark, d))
-    return train_word_vectors(docs, seed=42)
+    # as many training tasks as the cluster runs at a time
+    return train_word_vectors(docs, seed=42, partitions=None)
 
 
 QUERIES: dict[str, Query] = {

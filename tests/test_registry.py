@@ -67,3 +67,14 @@ def test_click_filter_reaches_the_scan(spark):
     pushed = plan[plan.index("PushedFilters"):].splitlines()[0]
     for part in ("EqualTo(event_type,click)", "GreaterThanOrEqual(ts", "LessThan(ts", "(value,5.0)"):
         assert part in pushed
+
+
+def test_word_vectors_train_on_the_whole_cluster(spark, monkeypatch):
+    from lodestar.plans import registry
+
+    given = {}
+    monkeypatch.setattr(registry, "_content_terms", lambda s, d: None)
+    monkeypatch.setattr(registry, "terms_by_article", lambda ct: None)
+    monkeypatch.setattr(registry, "train_word_vectors", lambda docs, **kw: given.update(kw))
+    registry.QUERIES["word_vectors"](spark, "")
+    assert given["partitions"] is None

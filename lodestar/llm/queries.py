@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import (
-    embedding_dedup, exact_dedup, language_id, lm_scoring, ngram_jaccard, packing, secret_scan,
-    sentencepiece_codec, substring_dedup, token_output,
+    embedding_dedup, exact_dedup, fill_in_middle, language_id, lm_scoring, ngram_jaccard, packing,
+    prefix_forest, secret_scan, sentencepiece_codec, substring_dedup, token_alignment, token_output,
 )
 from lodestar.llm._spark import documents
 
@@ -21,6 +21,7 @@ from lodestar.llm._spark import documents
 TOKENIZERS = "/opt/tokenizers"
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
+BYTES = "byte_bpe_50k.json"
 
 
 def tokenizer_path(name: str) -> str:
@@ -85,6 +86,23 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path(WORDS))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle.restore(fill_in_middle.fill_in_middle(documents(spark, sf_dir)))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(documents(spark, sf_dir), tokenizer_path(BYTES),
+                                    tokenizer_path(PIECES), hashed=True)
+    return aligned.documents.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_exact_dedup": op2_exact_dedup,
@@ -96,6 +114,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_nearest_vectors": op13_nearest_vectors,
 }
 
 # The white space of the word contracts, as a DuckDB pattern.
@@ -120,4 +141,22 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
   CAST(len(w) - coalesce(len(regexp_extract_all(t, '{_WORD}')), 0) AS BIGINT) AS n_removed,
   sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op11_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+g AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS c1,
+    ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS c2,
+    ('0x' || h[17:24])::BIGINT % 100 AS r3, ('0x' || h[25:32])::BIGINT % 100 AS r4 FROM d),
+p AS (SELECT doc_id, t, n,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+      OR r3 >= 100 THEN 'plain' WHEN r4 < 50 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(u[1:least(c1, c2)], '') AS prefix,
+    array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+    array_to_string(u[greatest(c1, c2) + 1:], '') AS suffix FROM g)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+    ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p""",
 }

@@ -130,3 +130,82 @@ def best(word, scores):
         return 0.0
     return max((scores[word[:k]] + best(word[k:], scores)
                 for k in range(1, len(word) + 1) if word[:k] in scores), default=-math.inf)
+
+
+def fill_in_middle(doc_id, text, fim=100, spm=50, seed=7):
+    """(n, form, prefix characters, middle characters, output)."""
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * k:8 * k + 8], 16) for k in range(4)]
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= fim:
+        return len(units), "plain", None, None, text
+    if h[3] % 100 < spm:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def alignments(texts, byte_ids, byte_of, piece_ids, piece_of):
+    """(A tokens, B tokens, groups, links, best links, summed counts, groups text) of each
+    text, and the links of every (B, A) pair; tokens by the tokenizers on whole texts."""
+    rows, total = [], Counter()
+    for t in texts:
+        a, b = (byte_ids(" " + t), piece_ids(t)) if t else ([], [])
+        x, y = [byte_of(i) for i in a], [piece_of(i) for i in b]
+        if not t or b"".join(x) != (" " + t).encode() or b"".join(y) != (" " + t).encode():
+            rows.append(None)
+            continue
+        links, groups, i, j, at, to = Counter(), [], 0, 0, 0, 0
+        left, right = [], []
+        while i < len(a):
+            links[b[j], a[i]] += 1
+            end_a, end_b = at + len(x[i]), to + len(y[j])
+            if end_a <= end_b:
+                left.append(str(a[i]))
+            if end_b <= end_a:
+                right.append(str(b[j]))
+            if end_a == end_b:
+                groups.append(f"{','.join(left)}|{','.join(right)}")
+                left, right = [], []
+            if end_a <= end_b:
+                i, at = i + 1, end_a
+            if end_b <= end_a:
+                j, to = j + 1, end_b
+        total += links
+        rows.append((len(a), len(b), groups, links))
+    top = Counter()
+    for (b, _), n in total.items():
+        top[b] = max(top[b], n)
+    out = []
+    for r in rows:
+        if r is None:
+            out.append((0, 0, 0, 0, 0, 0, ""))
+            continue
+        n_a, n_b, groups, links = r
+        out.append((n_a, n_b, len(groups), sum(links.values()),
+                    sum(m for p, m in links.items() if total[p] == top[p[0]]),
+                    sum(m * total[p] for p, m in links.items()), ";".join(groups)))
+    return out, total
+
+
+def nearest(rows, k=5, every=50):
+    """Of (id, vector) rows, (query id, rank, id, cosine) of every query, exactly."""
+    def fine(v):
+        return bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    def cosine(x, y):
+        m, n = max(map(abs, x)), max(map(abs, y))
+        x, y = [a / m for a in x], [a / n for a in y]
+        return (math.fsum(a * b for a, b in zip(x, y))
+                / math.sqrt(math.fsum(a * a for a in x) * math.fsum(b * b for b in y)))
+
+    out = []
+    for n, (i, v) in enumerate(rows):
+        if i is None or i % every or not fine(v):
+            continue
+        near = sorted((-round(cosine(v, w), 12), j is None, j or 0) for m, (j, w) in enumerate(rows)
+                      if m != n and fine(w) and len(w) == len(v))
+        out += [(i, r + 1, None if none else j, -c) for r, (c, none, j) in enumerate(near[:k])]
+    return out

@@ -52,4 +52,4 @@ def test_run_is_registered(spark):
     import __spark_entry__ as entry
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert sum(k.startswith("op") and k[2].isdigit() for k in entry.queries()) == 10
+    assert sum(k.startswith("op") and k[2].isdigit() for k in entry.queries()) == 13

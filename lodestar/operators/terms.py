@@ -56,29 +56,38 @@ def keep_pos(terms: DataFrame, dictionary: DataFrame, prefix: str = "n",
 
 
 def build_dictionary(lists: Sequence[tuple[DataFrame, str | None]], word_col: str = "word",
-                     pos_col: str = "pos") -> DataFrame:
+                     pos_col: str = "pos", freq_col: str = "freq") -> DataFrame:
     """R2: union of word lists -> ``(word, pos)``, one row per word.
 
     Each list is ``(frame, default_pos)``; a list's own ``pos`` column wins over
-    its default when present and not NULL.  On duplicates the earlier list wins
-    (and within one list the smallest part of speech, for determinism).
-    Implemented as a ``min`` over ``(priority, pos)`` structs, which aggregates
-    partially on the map side, so a word repeated in every list is never
-    gathered in one place.
+    its default when present and not NULL.  On duplicates the earlier list wins,
+    also where it leaves the word untagged (``pos`` is NULL then); within one
+    list a tagged entry wins, and the smallest tag, for determinism.  If any list
+    has a ``freq`` column the result has one too: the winning list's highest
+    frequency of the word (NULL if it gives none).
+    Implemented as ``min`` over structs that begin with the priority, which
+    aggregate partially on the map side, so a word repeated in every list is
+    never gathered in one place.
     """
     parts = []
+    counted = any(freq_col in frame.columns for frame, _ in lists)
     for priority, (frame, default_pos) in enumerate(lists):
         pos = (F.coalesce(F.col(pos_col), F.lit(default_pos)) if pos_col in frame.columns
-               else F.lit(default_pos))
-        parts.append(frame.select(F.col(word_col).cast("string").alias("word"),
-                                  pos.cast("string").alias("pos"),
-                                  F.lit(priority).alias("_prio")))
+               else F.lit(default_pos)).cast("string")
+        freq = F.col(freq_col) if freq_col in frame.columns else F.lit(None)
+        word = F.col(word_col).cast("string")
+        parts.append(frame.where(word.isNotNull()).select(
+            word.alias("word"), F.lit(priority).alias("_prio"), pos.isNull().alias("_untagged"),
+            pos.alias("pos"), freq.cast("long").alias("freq")))
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    best = (union.where(F.col("word").isNotNull() & F.col("pos").isNotNull())
-            .groupBy("word").agg(F.min(F.struct("_prio", "pos")).alias("_best")))
-    return best.select("word", F.col("_best.pos").alias("pos"))
+    best = union.groupBy("word").agg(
+        F.min(F.struct("_prio", "_untagged", "pos")).alias("_best"),
+        F.min(F.struct("_prio", F.col("freq").isNull().alias("_none"),
+                       (-F.col("freq")).alias("less"))).alias("_most"))
+    out = [F.col("word"), F.col("_best.pos").alias("pos")]
+    return best.select(*out, (-F.col("_most.less")).alias("freq")) if counted else best.select(*out)
 
 
 def han_lengths(dictionary: DataFrame, prefix: str = "n", word_col: str = "word",
@@ -98,19 +107,29 @@ def han_lengths(dictionary: DataFrame, prefix: str = "n", word_col: str = "word"
 def content_terms(docs: DataFrame, stopwords: DataFrame | None = None,
                   dictionary: DataFrame | None = None, min_len: int = 2, pos_prefix: str = "n",
                   id_col: str = "article_id", text_col: str = "content", distinct: bool = True,
-                  han_ngrams: tuple[int, ...] | None = None) -> DataFrame:
+                  han_ngrams: tuple[int, ...] | None = None, han: str = "ngrams") -> DataFrame:
     """O3: ``(article_id, pos, term)`` — distinct terms, no stop words, length >= ``min_len``.
 
-    With a ``dictionary`` only terms tagged ``pos_prefix*`` are kept and
-    unspaced Han runs are expanded into candidates first: of 2–8 characters and
+    With a ``dictionary`` only terms tagged ``pos_prefix*`` are kept.  Unspaced
+    Han runs are cut into words first: with ``han="lattice"`` along the one
+    cheapest path through the dictionary's words and frequencies
+    (:func:`lodestar.operators.segment.segmented_terms`); with ``han="ngrams"``
+    every substring that is a dictionary word is a term: of 2–8 characters and
     of every longer length the dictionary has (:func:`han_lengths`), or of
-    exactly ``han_ngrams`` if given.  This approximates a statistical segmenter.
-    Articles left with no term simply have no rows (F6).
+    exactly ``han_ngrams`` if given.  Articles left with no term simply have no
+    rows (F6).
     """
-    ngrams = None
-    if dictionary is not None:
-        ngrams = han_lengths(dictionary, pos_prefix) if han_ngrams is None else han_ngrams
-    terms = tokenize(docs, id_col, text_col, min_len, distinct, ngrams)
+    if han not in ("ngrams", "lattice"):
+        raise ValueError("han must be 'ngrams' or 'lattice'")
+    if dictionary is not None and han == "lattice":
+        from lodestar.operators.segment import segmented_terms
+
+        terms = segmented_terms(docs, dictionary, id_col, text_col, min_len, distinct)
+    else:
+        ngrams = None
+        if dictionary is not None:
+            ngrams = han_lengths(dictionary, pos_prefix) if han_ngrams is None else han_ngrams
+        terms = tokenize(docs, id_col, text_col, min_len, distinct, ngrams)
     if stopwords is not None:
         terms = drop_stopwords(terms, stopwords)
     if dictionary is not None:

@@ -81,6 +81,11 @@ def q_content_terms(spark, d):
     return _content_terms(spark, d)
 
 
+def q_content_terms_han(spark, d):
+    return content_terms(W.han_articles(spark, d), materialize(W.han_stopwords(spark, d)),
+                         materialize(W.han_dictionary(spark, d)), han="lattice")
+
+
 def q_article_terms(spark, d):
     return terms_by_article(_content_terms(spark, d), as_string=True)
 
@@ -168,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "stopwords": q_stopwords,
     "dictionary": q_dictionary,
     "content_terms": q_content_terms,
+    "content_terms_han": q_content_terms_han,
     "article_terms": q_article_terms,
     "article_terms_split": q_article_terms_split,
     "vocabulary": q_vocabulary,

@@ -21,6 +21,9 @@ Derivations (stand-ins, not reference data):
   core list (terms of ``conversations``, tag from the word's ending).
 * word_vec   = each corpus term gets row ``f(term) mod ⌊1.25·|embeddings|⌋``
   of ``embeddings``; terms landing past the last row have no vector.
+* Han text   = the same articles, stop words and dictionary with each letter
+  a-z mapped to a Han character and spaces left out, so that sentences become
+  unspaced runs; word frequencies = benchmark items or turns with the word.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ OTHER_PAGE = "home"
 CUSTOM_POS = "nz"
 WORD_SLOT_NUMERATOR, WORD_SLOT_DENOMINATOR = 5, 4   # slots = 1.25 x embedding rows
 CLICK_START, CLICK_END = "20240105", "20240125"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+HAN_LETTERS = "天地人日月山水火木金土石田禾竹米虫鱼鸟马牛羊犬豕鹿龙"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -150,6 +155,30 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_dictionary([(custom, CUSTOM_POS), (core, None)])
 
 
+def to_han(text) -> F.Column:
+    """Lower-case text with letters as Han characters and without spaces."""
+    return F.translate(F.lower(text), LETTERS + " ", HAN_LETTERS)
+
+
+def han_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return articles(spark, sf_dir).withColumn("content", to_han(F.col("content")))
+
+
+def han_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stopwords(spark, sf_dir).select(to_han(F.col("word")).alias("word"))
+
+
+def han_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(word, pos, freq)``: :func:`dictionary` in Han characters, with frequencies."""
+    def counted(tokens: DataFrame) -> DataFrame:
+        return tokens.groupBy(F.col("term").alias("word")).agg(F.count(F.lit(1)).alias("freq"))
+
+    custom = counted(tokenize(table(spark, sf_dir, "benchmark"), "item_id", "text"))
+    core = counted(side_tokens(spark, sf_dir)).withColumn("pos", pos_by_ending(F.col("word")))
+    return build_dictionary([(custom, CUSTOM_POS), (core, None)]).withColumn(
+        "word", to_han(F.col("word")))
+
+
 def word_vectors(spark: SparkSession, sf_dir: str, vocabulary: DataFrame) -> DataFrame:
     """``(word, vector array<double>)`` for the words of ``vocabulary(term)``."""
     emb = table(spark, sf_dir, "embeddings")

@@ -93,3 +93,14 @@ def test_dictionary_words_of_any_length_are_found(spark):
     order = {r.article_id: r.terms for r in
              terms_by_article(content_terms(docs, None, dictionary)).collect()}
     assert order["a"] == [long, "人民", "会议", "呼和浩特市"]
+
+
+def test_untagged_words_keep_their_priority_and_frequencies_win_with_their_list(spark):
+    first = spark.createDataFrame([("apple", None, 7), ("pear", "n", None), ("fig", "v", 2),
+                                   ("fig", "n", 9)], "word string, pos string, freq long")
+    second = spark.createDataFrame([("apple", "n"), ("pear", "v"), ("plum", "n")],
+                                   "word string, pos string")
+    rows = build_dictionary([(first, None), (second, None)]).collect()
+    assert {tuple(r) for r in rows} == {("apple", None, 7), ("pear", "n", None), ("fig", "n", 9),
+                                        ("plum", "n", None)}
+    assert build_dictionary([(second, None)]).columns == ["word", "pos"]

@@ -56,7 +56,7 @@ def document_frequency(tf: DataFrame, vocab_size: int | None = None,
             raise ValueError("a fractional min_df needs n_docs")
         vocab = vocab.where(F.col("df") >= F.lit(min_df) * n_docs)
     if vocab_size is not None:
-        vocab = global_top_n(vocab, [F.col("cnt").desc(), F.col("term").asc()], vocab_size)
+        vocab = global_top_n(vocab, "cnt", "term", vocab_size)
     return vocab
 
 

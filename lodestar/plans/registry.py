@@ -8,6 +8,7 @@ both for a stable comparison (scores and vectors are exact in the library).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +16,15 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.vectors import round_array
 from lodestar.operators import (
-    article_clicks, base_profile, content_terms, document_frequency, document_vectors,
-    hashing_tf, keyword_vectors, latest_snapshot, sample_for_dev, term_frequency, tfidf,
-    tokenize, top_keywords, top_terms_table, train_word_vectors, user_embedding,
+    article_clicks, base_profile, content_terms, daily_states, document_frequency,
+    document_vectors, finish_states, hashing_tf, keyword_vectors, latest_snapshot, merge_states,
+    read_states, sample_for_dev, save_states, term_frequency, tfidf, tokenize, top_keywords,
+    top_terms_table, train_word_vectors, user_embedding,
 )
 from lodestar.operators.keywords import DEFAULT_TOP_K
 from lodestar.operators.terms import terms_by_article, terms_from_rest
 from lodestar.plans import warehouse as W
+from lodestar.session import ensure_checkpoint_dir
 from lodestar.sources.tables import materialize
 
 DIGITS = 6
@@ -57,6 +60,11 @@ def _clicks(spark: SparkSession, d: str) -> DataFrame:
     return article_clicks(events, W.CLICK_START, W.CLICK_END)
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def q_base_profile(spark, d):
     return base_profile(W.users(spark, d), W.base_info(spark, d), region="from_mobile")
 
@@ -108,6 +116,14 @@ def q_tfidf(spark, d):
                     F.round("score", DIGITS).alias("score"))
 
 
+def q_tfidf_counts(spark, d):
+    stop, dictionary = materialize(W.stopwords(spark, d)), materialize(W.dictionary(spark, d))
+    every = materialize(content_terms(W.articles(spark, d), stop, dictionary, distinct=False))
+    return tfidf(every).select("article_id", "term", "tf", "df",
+                               F.round("idf", DIGITS).alias("idf"),
+                               F.round("score", DIGITS).alias("score"))
+
+
 def q_top_keywords(spark, d):
     t = _top(spark, d)
     return t.select("article_id", "rank", "term", F.round("score", DIGITS).alias("score"))
@@ -146,6 +162,18 @@ def q_user_embedding_plain(spark, d):
     return u.select("uid", round_array("user_vector", DIGITS).alias("user_vector"))
 
 
+def q_user_embedding_daily(spark, d):
+    """States stored day by day, as daily loads would: the days up to the 15th, then the
+    later ones, with the 15th loaded once more; the mean is a merge of what is stored."""
+    path, kw_vec = _folder(spark, "states"), _kw_vec(spark, d)
+    for start, end in ((W.CLICK_START, W.CLICK_MIDDLE), (W.CLICK_MIDDLE, W.CLICK_END)):
+        clicks = article_clicks(W.click_events(spark, d, start, end), start, end, keep_day=True)
+        save_states(daily_states(clicks, kw_vec), path)
+    states = read_states(spark, path, W.CLICK_START, W.CLICK_END)
+    u = finish_states(merge_states(states, "uid"), "uid", "user_vector")
+    return u.select("uid", round_array("user_vector", DIGITS).alias("user_vector"))
+
+
 def q_latest_event(spark, d):
     return latest_snapshot(W.table(spark, d, "events"), "user_id", ["ts", "event_id"])
 
@@ -179,6 +207,7 @@ QUERIES: dict[str, Query] = {
     "vocabulary": q_vocabulary,
     "vocabulary_small": q_vocabulary_small,
     "tfidf": q_tfidf,
+    "tfidf_counts": q_tfidf_counts,
     "top_keywords": q_top_keywords,
     "top_keywords_asc": q_top_keywords_asc,
     "article_top_terms": q_article_top_terms,
@@ -187,6 +216,7 @@ QUERIES: dict[str, Query] = {
     "article_clicks": q_article_clicks,
     "user_embedding": q_user_embedding,
     "user_embedding_plain": q_user_embedding_plain,
+    "user_embedding_daily": q_user_embedding_daily,
     "latest_event": q_latest_event,
     "dev_sample": q_dev_sample,
     "hashing_tf": q_hashing_tf,
@@ -344,6 +374,15 @@ FROM u LEFT JOIN bi ON u.distinct_id = bi.distinct_id""",
                         + "\nSELECT term, cnt, df FROM vocab",
     "tfidf": "WITH " + SCORED + f"\nSELECT article_id, term, tf, df, round(idf, {DIGITS}) AS idf, "
              f"round(score, {DIGITS}) AS score FROM scored",
+    "tfidf_counts": "WITH " + CONTENT + f"""
+, every AS (SELECT article_id, term, count(*) AS tf FROM ctok_u
+  WHERE length(term) >= 2 AND term NOT IN (SELECT word FROM stop)
+  AND term IN (SELECT word FROM dict WHERE pos LIKE 'n%') GROUP BY article_id, term),
+v AS (SELECT term, count(*) AS df FROM every GROUP BY term),
+x AS (SELECT e.article_id, e.term, e.tf, v.df, ln(((SELECT count(DISTINCT article_id) FROM every)
+  + 1.0) / (v.df + 1.0)) AS idf FROM every e JOIN v ON e.term = v.term)
+SELECT article_id, term, tf, df, round(idf, {DIGITS}) AS idf, round(tf * idf, {DIGITS}) AS score
+FROM x""",
     "top_keywords": "WITH " + _top_sql("DESC")
                     + f"\nSELECT article_id, rank, term, round(score, {DIGITS}) AS score FROM top",
     "top_keywords_asc": "WITH " + _top_sql("ASC")
@@ -358,6 +397,7 @@ SELECT t.article_id, t.top_terms, a.terms FROM
     "article_clicks": "WITH " + CLICKS + "\nSELECT uid, article_id FROM clicks",
     "user_embedding": USER_MEAN,
     "user_embedding_plain": USER_MEAN,
+    "user_embedding_daily": USER_MEAN,
     "latest_event": """SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM events) WHERE rn = 1""",

@@ -42,7 +42,7 @@ DETAIL_PAGE_MIN_VALUE = 5.0              # events.value >= 5 -> content detail p
 OTHER_PAGE = "home"
 CUSTOM_POS = "nz"
 WORD_SLOT_NUMERATOR, WORD_SLOT_DENOMINATOR = 5, 4   # slots = 1.25 x embedding rows
-CLICK_START, CLICK_END = "20240105", "20240125"
+CLICK_START, CLICK_MIDDLE, CLICK_END = "20240105", "20240115", "20240125"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 HAN_LETTERS = "天地人日月山水火木金土石田禾竹米虫鱼鸟马牛羊犬豕鹿龙"
 

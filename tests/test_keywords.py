@@ -70,8 +70,9 @@ def test_vocabulary_cap_matches_sorted_limit(spark):
 
 
 def test_global_top_n_ranks(spark):
-    df = spark.range(1000).withColumn("k", (F.col("id") * 7919) % 1000).repartition(7)
-    got = global_top_n(df, [F.col("k").desc(), F.col("id")], 25, rank_col="rank")
+    df = spark.range(1000).select(F.col("id").cast("string").alias("id"),
+                                  ((F.col("id") * 7919) % 1000).alias("k")).repartition(7)
+    got = global_top_n(df, "k", "id", 25, rank_col="rank")
     rows = sorted((r["rank"], r.k) for r in got.collect())
     assert rows == [(i + 1, 999 - i) for i in range(25)]
 
@@ -122,12 +123,39 @@ def test_k_larger_than_terms_keeps_all(spark):
 
 
 def test_global_top_n_with_ties_is_total_order(spark):
-    df = spark.range(300).withColumn("k", (F.col("id") % 3)).repartition(9)
-    got = global_top_n(df, [F.col("k").desc(), F.col("id").asc()], 101, rank_col="rank")
-    rows = sorted((r["rank"], r.k, r.id) for r in got.collect())
+    df = spark.range(300).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("id"),
+                                 (F.col("id") % 3).alias("k")).repartition(9)
+    got = global_top_n(df, "k", "id", 101, rank_col="rank")
+    rows = sorted((r["rank"], r.k, int(r.id)) for r in got.collect())
     assert [(k, i) for _, k, i in rows] == [(2, i) for i in range(2, 300, 3)] + [(1, 1)]
 
 
+def test_global_top_n_cuts_at_any_place(spark):
+    import random
+
+    rnd = random.Random(4)
+    rows = [("".join(rnd.choice("abé") for _ in range(rnd.randrange(5))) + f"{i}",
+             rnd.choice([0, 1, 1, 1, 2, 4095, 4096, 4100, 70_000, 70_001, 2**40, 2**62]))
+            for i in range(400)]
+    df = spark.createDataFrame(rows + [("none", None), (None, 5)], "w string, c long").repartition(5)
+    best = sorted(rows, key=lambda r: (-r[1], r[0].encode()))
+    for n in (0, 1, 30, 60, 100, 177, 399, 400, 5000):
+        got = [tuple(r) for r in global_top_n(df, "c", "w", n).collect()]
+        assert sorted(got) == sorted(best[:n])
+    assert global_top_n(df.limit(0), "c", "w", 3).collect() == []
+
+
+def test_global_top_n_neither_sorts_the_table_nor_runs_a_job(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("w"), "id")
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan only", "plan only")
+    top = global_top_n(df, "id", "w", 10)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert list(status.getJobIdsForGroup("plan only")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "rangepartitioning" not in plan and "ExistingRDD" not in plan
+
+
 def test_hashing_tf_takes_any_number_of_buckets(spark):
     arr = spark.createDataFrame([("a", ["x", "y", "x"])], "article_id string, terms array<string>")
     got = hashing_tf(arr, 1 << 20).collect()

@@ -8,7 +8,9 @@ from lodestar.operators.keywords import (
 from lodestar.operators.profile import base_profile
 from lodestar.operators.ranking import global_top_n
 from lodestar.operators.segment import segmented_terms
-from lodestar.operators.snapshot import latest_snapshot, sample_for_dev
+from lodestar.operators.snapshot import (
+    fold_changes, latest_snapshot, read_snapshot, sample_for_dev,
+)
 from lodestar.operators.terms import (
     build_dictionary, content_terms, drop_stopwords, keep_pos, terms_by_article, tokenize,
 )
@@ -26,5 +28,6 @@ __all__ = [
     "build_dictionary", "content_terms", "drop_stopwords", "keep_pos",
     "terms_by_article", "tokenize", "document_vectors", "keyword_vectors",
     "train_word_vectors", "vector_mean", "vector_sum", "segmented_terms", "daily_states",
+    "fold_changes", "read_snapshot",
     "finish_states", "merge_states", "read_states", "save_states", "vector_states",
 ]

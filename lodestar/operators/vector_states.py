@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.vectors import to_array, to_vector
+from lodestar.sources.tables import replace_partitions
 
 
 def _keys(keys: Sequence[str] | str) -> list[str]:
@@ -62,8 +63,7 @@ def finish_states(states: DataFrame, keys: Sequence[str] | str, out: str = "vect
 def save_states(states: DataFrame, path: str, day_col: str = "logday") -> None:
     """Write states into a Parquet table partitioned by day, replacing the days that
     ``states`` holds and no other (dynamic partition overwrite)."""
-    (states.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(day_col).parquet(path))
+    replace_partitions(states, path, day_col)
 
 
 def read_states(spark: SparkSession, path: str, start: str | None = None, end: str | None = None,

@@ -17,19 +17,20 @@ from pyspark.sql import functions as F
 from lodestar.functions.vectors import round_array
 from lodestar.operators import (
     article_clicks, base_profile, content_terms, daily_states, document_frequency,
-    document_vectors, finish_states, hashing_tf, keyword_vectors, latest_snapshot, merge_states,
-    read_states, sample_for_dev, save_states, term_frequency, tfidf, tokenize, top_keywords,
+    document_vectors, finish_states, fold_changes, hashing_tf, keyword_vectors, latest_snapshot, merge_states,
+    read_snapshot, read_states, sample_for_dev, save_states, term_frequency, tfidf, tokenize, top_keywords,
     top_terms_table, train_word_vectors, user_embedding,
 )
 from lodestar.operators.keywords import DEFAULT_TOP_K
 from lodestar.operators.terms import terms_by_article, terms_from_rest
 from lodestar.plans import warehouse as W
 from lodestar.session import ensure_checkpoint_dir
-from lodestar.sources.tables import materialize
+from lodestar.sources.tables import materialize, on_days, read_partitions, replace_partitions
 
 DIGITS = 6
 SMALL_VOCAB = 1000      # a second vocabulary query where the cap actually cuts
 DEV_SAMPLE_ROWS = 100
+SNAPSHOT_BUCKETS = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,6 +179,37 @@ def q_latest_event(spark, d):
     return latest_snapshot(W.table(spark, d, "events"), "user_id", ["ts", "event_id"])
 
 
+def q_latest_event_folded(spark, d):
+    """The snapshot folded from ten days of events at a time, the middle ones last."""
+    events, path = W.table(spark, d, "events"), _folder(spark, "snapshot")
+    day = F.dayofmonth("ts")
+    for part in (day <= 10, day > 20, (day > 10) & (day <= 20)):
+        fold_changes(events.where(part), path, "user_id", ["ts", "event_id"], SNAPSHOT_BUCKETS)
+    return read_snapshot(spark, path, events.schema)
+
+
+def _events_by_day(spark, d):
+    """The event table, stored by day."""
+    path = _folder(spark, "events")
+    events = W.events(spark, d)
+    replace_partitions(events, path, "logday")
+    return read_partitions(spark, path, events.schema)
+
+
+def q_article_clicks_by_day(spark, d):
+    return article_clicks(_events_by_day(spark, d), W.CLICK_START, W.CLICK_END)
+
+
+def q_article_clicks_on_days(spark, d):
+    """Clicks of the days of a month with more orders than the mean, a list known at run
+    time only."""
+    orders = W.table(spark, d, "orders").select(
+        F.concat(F.lit("202401"), F.date_format("o_orderdate", "dd")).alias("logday"))
+    busy = orders.groupBy("logday").agg(F.count(F.lit(1)).alias("n"))
+    days = busy.where(F.col("n") > busy.select(F.avg("n")).scalar())
+    return article_clicks(on_days(_events_by_day(spark, d), days), W.CLICK_START, W.CLICK_END)
+
+
 def q_dev_sample(spark, d):
     docs = W.table(spark, d, "documents")
     return sample_for_dev(docs, "doc_id", DEV_SAMPLE_ROWS).select(
@@ -218,6 +250,9 @@ QUERIES: dict[str, Query] = {
     "user_embedding_plain": q_user_embedding_plain,
     "user_embedding_daily": q_user_embedding_daily,
     "latest_event": q_latest_event,
+    "latest_event_folded": q_latest_event_folded,
+    "article_clicks_by_day": q_article_clicks_by_day,
+    "article_clicks_on_days": q_article_clicks_on_days,
     "dev_sample": q_dev_sample,
     "hashing_tf": q_hashing_tf,
     "word_vectors": q_word_vectors,
@@ -349,6 +384,10 @@ USER_MEAN = ("WITH " + KW_VEC + ",\n" + CLICKS + ",\n"
              "j AS (SELECT c.uid, k.vector FROM clicks c JOIN kw k ON c.article_id = k.article_id "
              "WHERE k.vector IS NOT NULL)\n" + _mean_sql("j", "uid", "vector", "user_vector"))
 
+LATEST_EVENT = """SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1"""
+
 ORACLE_SQL: dict[str, str] = {
     "base_profile": "WITH " + BASE_INFO + """
 SELECT u.distinct_id AS uid, gender, age,
@@ -398,9 +437,14 @@ SELECT t.article_id, t.top_terms, a.terms FROM
     "user_embedding": USER_MEAN,
     "user_embedding_plain": USER_MEAN,
     "user_embedding_daily": USER_MEAN,
-    "latest_event": """SELECT event_id, ts, user_id, event_type, value, props FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-  FROM events) WHERE rn = 1""",
+    "article_clicks_by_day": "WITH " + CLICKS + "\nSELECT uid, article_id FROM clicks",
+    "article_clicks_on_days": "WITH RECURSIVE " + CLICKS.replace("SELECT distinct_id AS uid, article_id FROM ev",
+        "SELECT distinct_id AS uid, article_id FROM ev SEMI JOIN "
+        "(SELECT logday FROM busy WHERE n > (SELECT avg(n) FROM busy)) USING (logday)")
+        + ", busy AS (SELECT '202401' || strftime(o_orderdate, '%d') AS logday, count(*) AS n "
+        "FROM orders GROUP BY 1)\nSELECT uid, article_id FROM clicks",
+    "latest_event": LATEST_EVENT,
+    "latest_event_folded": LATEST_EVENT,
     "dev_sample": f"SELECT CAST(doc_id AS VARCHAR) AS article_id, text AS content FROM documents "
                   f"ORDER BY doc_id LIMIT {DEV_SAMPLE_ROWS}",
 }

@@ -7,6 +7,7 @@ The DDL is derived from ``df.schema`` field objects, never by re-parsing a
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Spark type -> external column type; anything else -> String.
@@ -34,6 +35,21 @@ def external_type(dt: T.DataType, nullable: bool = False) -> str:
     return f"Nullable({name})" if nullable else name
 
 
+def bindable(df: DataFrame) -> DataFrame:
+    """``df`` with every column that is declared as text cast to it (decimals, booleans,
+    timestamps without a zone, arrays as JSON …)."""
+    known = tuple(kind for kind, _ in TYPE_MAP)
+
+    def bound(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, known):
+            return c
+        nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
+        return (F.to_json(c) if nested else c.cast("string")).alias(f.name)
+
+    return df.select(*[bound(f) for f in df.schema.fields])
+
+
 def external_columns(schema: T.StructType, nullable: bool = False,
                      key: str | None = None) -> str:
     """``"uid String, age Int32, …"`` in schema order; with ``nullable``, all
@@ -119,4 +135,4 @@ def publish_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
         recreate_external_table(df.sparkSession, options, df.schema, cluster_by or "tuple()",
                                 engine)
     out = df.sortWithinPartitions(cluster_by) if cluster_by else df
-    out.write.format("jdbc").mode("append").options(**options).save()
+    bindable(out).write.format("jdbc").mode("append").options(**options).save()

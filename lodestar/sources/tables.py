@@ -41,6 +41,32 @@ def save_table(df: DataFrame, name: str, fmt: str = "orc", mode: str = "overwrit
     writer.saveAsTable(name)
 
 
+def replace_partitions(df: DataFrame, path: str, by: str | Sequence[str],
+                       fmt: str = "parquet") -> None:
+    """Write ``df`` into the table at ``path``, partitioned by ``by``, replacing the
+    partitions that it holds and no other, so that a run can be repeated.
+
+    Rows are rebalanced on ``by`` first: a partition is written as few files, and
+    one with a large share of the rows by several tasks.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    (df.hint("rebalance", *by).write.mode("overwrite").format(fmt)
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(path))
+
+
+def read_partitions(spark: SparkSession, path: str, schema: StructType | str,
+                    fmt: str = "parquet") -> DataFrame:
+    """The table at ``path`` with the given schema, partition columns included (their
+    types are not guessed from folder names)."""
+    return spark.read.schema(schema).format(fmt).option("basePath", path).load(path)
+
+
+def on_days(events: DataFrame, days: DataFrame, day_col: str = "logday") -> DataFrame:
+    """``events`` of the days listed in ``days``.  On a table partitioned by day only
+    those days' files are read, though they are known at run time only."""
+    return events.join(days.select(day_col).distinct(), day_col, "left_semi")
+
+
 def create_table_if_not_exists(spark: SparkSession, name: str, schema: StructType,
                                fmt: str = "parquet") -> None:
     """``CREATE TABLE IF NOT EXISTS name (...) USING fmt``."""

@@ -23,9 +23,12 @@ from lodestar.operators import (
 )
 from lodestar.operators.keywords import DEFAULT_TOP_K
 from lodestar.operators.terms import terms_by_article, terms_from_rest
+from lodestar.plans import jobs
 from lodestar.plans import warehouse as W
 from lodestar.session import ensure_checkpoint_dir
-from lodestar.sources.tables import materialize, on_days, read_partitions, replace_partitions
+from lodestar.sources.tables import (
+    materialize, on_days, read_partitions, replace_partitions, save_counted, save_table, write_all,
+)
 
 DIGITS = 6
 SMALL_VOCAB = 1000      # a second vocabulary query where the cap actually cuts
@@ -175,6 +178,44 @@ def q_user_embedding_daily(spark, d):
     return u.select("uid", round_array("user_vector", DIGITS).alias("user_vector"))
 
 
+def _database(spark: SparkSession, name: str) -> str:
+    """A new catalog database whose tables lie in the shared checkpoint folder."""
+    path = _folder(spark, name)
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    return database
+
+
+def q_profile_published(spark, d):
+    """The base profile in a Parquet and an ORC table, one of which is read back."""
+    db = _database(spark, "profile")
+    counts = []
+    write_all(q_base_profile(spark, d), [
+        lambda df: counts.append(save_counted(df, f"{db}.user_profile_base", "parquet")),
+        lambda df: counts.append(save_counted(df, f"{db}.user_profile_orc", "orc"))])
+    if counts[0] != counts[1]:
+        raise RuntimeError(f"the sinks have {counts} rows")
+    return spark.table(f"{db}.user_profile_orc")
+
+
+def q_content_chain(spark, d):
+    """Jobs 3 to 6 over catalog tables, term lists at rest as comma strings."""
+    db = _database(spark, "chain")
+    save_table(W.articles(spark, d), f"{db}.article_cn", "parquet")
+    save_table(W.events(spark, d).drop("ts"), f"{db}.event", "parquet")
+    jobs.segment_job(spark, f"{db}.article_cn", f"{db}.article_terms",
+                     materialize(W.stopwords(spark, d)), materialize(W.dictionary(spark, d)),
+                     at_rest=True)
+    jobs.keywords_job(spark, f"{db}.article_terms", f"{db}.article_top_terms", at_rest=True)
+    vocabulary = terms_from_rest(spark.table(f"{db}.article_terms"))
+    jobs.word2vec_job(spark, f"{db}.article_top_terms", f"{db}.article_top_terms_w2v",
+                      word_vec=W.word_vectors(spark, d, vocabulary))
+    jobs.user_embedding_job(spark, f"{db}.event", f"{db}.article_top_terms_w2v",
+                            f"{db}.user_content_embedding", W.CLICK_START, W.CLICK_END)
+    u = spark.table(f"{db}.user_content_embedding")
+    return u.select("uid", round_array("user_vector", DIGITS).alias("user_vector"))
+
+
 def q_latest_event(spark, d):
     return latest_snapshot(W.table(spark, d, "events"), "user_id", ["ts", "event_id"])
 
@@ -229,6 +270,8 @@ def q_word_vectors(spark, d):
 QUERIES: dict[str, Query] = {
     "base_profile": q_base_profile,
     "base_profile_given_region": q_base_profile_given_region,
+    "profile_published": q_profile_published,
+    "content_chain": q_content_chain,
     "tokens": q_tokens,
     "stopwords": q_stopwords,
     "dictionary": q_dictionary,
@@ -388,12 +431,15 @@ LATEST_EVENT = """SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM events) WHERE rn = 1"""
 
-ORACLE_SQL: dict[str, str] = {
-    "base_profile": "WITH " + BASE_INFO + """
+PROFILE = "WITH " + BASE_INFO + """
 SELECT u.distinct_id AS uid, gender, age,
   CASE WHEN length(mobile) >= 11 THEN right(mobile, 11) ELSE '' END AS region,
   """ + EMAIL_SUFFIX + """, model
-FROM u LEFT JOIN bi ON u.distinct_id = bi.distinct_id""",
+FROM u LEFT JOIN bi ON u.distinct_id = bi.distinct_id"""
+
+ORACLE_SQL: dict[str, str] = {
+    "base_profile": PROFILE,
+    "profile_published": PROFILE,
     "base_profile_given_region": "WITH " + BASE_INFO + """
 SELECT u.distinct_id AS uid, gender, age, region, """ + EMAIL_SUFFIX + """, model
 FROM u LEFT JOIN bi ON u.distinct_id = bi.distinct_id""",
@@ -436,13 +482,14 @@ SELECT t.article_id, t.top_terms, a.terms FROM
     "article_clicks": "WITH " + CLICKS + "\nSELECT uid, article_id FROM clicks",
     "user_embedding": USER_MEAN,
     "user_embedding_plain": USER_MEAN,
+    "content_chain": USER_MEAN,
     "user_embedding_daily": USER_MEAN,
     "article_clicks_by_day": "WITH " + CLICKS + "\nSELECT uid, article_id FROM clicks",
-    "article_clicks_on_days": "WITH RECURSIVE " + CLICKS.replace("SELECT distinct_id AS uid, article_id FROM ev",
-        "SELECT distinct_id AS uid, article_id FROM ev SEMI JOIN "
-        "(SELECT logday FROM busy WHERE n > (SELECT avg(n) FROM busy)) USING (logday)")
-        + ", busy AS (SELECT '202401' || strftime(o_orderdate, '%d') AS logday, count(*) AS n "
-        "FROM orders GROUP BY 1)\nSELECT uid, article_id FROM clicks",
+    "article_clicks_on_days": "WITH busy AS (SELECT '202401' || strftime(o_orderdate, '%d') AS logday, "
+        "count(*) AS n FROM orders GROUP BY 1),\n" + CLICKS.replace(
+        "SELECT distinct_id AS uid, article_id FROM ev", "SELECT distinct_id AS uid, article_id "
+        "FROM ev SEMI JOIN (SELECT logday FROM busy WHERE n > (SELECT avg(n) FROM busy)) "
+        "USING (logday)") + "\nSELECT uid, article_id FROM clicks",
     "latest_event": LATEST_EVENT,
     "latest_event_folded": LATEST_EVENT,
     "dev_sample": f"SELECT CAST(doc_id AS VARCHAR) AS article_id, text AS content FROM documents "

@@ -7,7 +7,7 @@ from lodestar.sources.jdbc import (
 from lodestar.sources.publish import BatchWriter, DbTarget, publish_batches
 from lodestar.sources.tables import (
     create_table_if_not_exists, materialize, on_days, read_partitions, read_table,
-    replace_partitions, save_table, spread, write_all,
+    replace_partitions, save_counted, save_table, spread, write_all,
 )
 from lodestar.sources.wordlists import read_dictionary, read_word_list
 
@@ -16,5 +16,5 @@ __all__ = [
     "publish_jdbc", "recreate_external_table",
     "create_table_if_not_exists", "materialize", "read_table", "spread", "save_table",
     "write_all", "read_word_list", "read_dictionary", "bindable", "BatchWriter", "DbTarget",
-    "publish_batches", "on_days", "read_partitions", "replace_partitions",
+    "publish_batches", "on_days", "read_partitions", "save_counted", "replace_partitions",
 ]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestar.session import ensure_checkpoint_dir
@@ -41,6 +42,19 @@ def save_table(df: DataFrame, name: str, fmt: str = "orc", mode: str = "overwrit
     writer.saveAsTable(name)
 
 
+def save_counted(df: DataFrame, name: str, fmt: str = "orc", mode: str = "overwrite",
+                 partition_by: Sequence[str] | None = None, path: str | None = None) -> int:
+    """:func:`save_table`, returning the rows written.
+
+    They are counted by the write itself (an observed metric), without a job of
+    their own.
+    """
+    seen = Observation()
+    save_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, fmt, mode, partition_by,
+               path)
+    return seen.get["rows"]
+
+
 def replace_partitions(df: DataFrame, path: str, by: str | Sequence[str],
                        fmt: str = "parquet") -> None:
     """Write ``df`` into the table at ``path``, partitioned by ``by``, replacing the

@@ -3,6 +3,7 @@ import decimal
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import types as T
 
 from lodestar.sources import (
@@ -89,3 +90,23 @@ def test_read_dictionary_priority_and_defaults(spark):
         fh.write("上海 nr\n北京\n")
     d = {r.word: r.pos for r in read_dictionary(spark, [(first, "nz"), (second, "ns")]).collect()}
     assert d == {"上海": "ns", "浦东": "nz", "北京": "ns"}
+
+
+def test_rows_are_counted_by_their_write(spark):
+    from lodestar.sources import save_counted
+
+    df = spark.range(37).selectExpr("id", "id % 3 AS part")
+    assert save_counted(df, "counted_orc") == spark.table("counted_orc").count() == 37
+    assert save_counted(df.where("id < 0"), "counted_parquet", "parquet") == 0
+    assert spark.table("counted_parquet").count() == 0
+
+
+def test_word_list_frequencies_and_other_failures(spark):
+    folder = tempfile.mkdtemp(prefix="lodestar-words-")
+    path = os.path.join(folder, "dict.txt")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("经济 n 100 vn 3\n人工智能\n技术 n x\n")
+    got = {r.word: r.freq for r in read_word_list(spark, path).collect()}
+    assert got == {"经济": 103, "人工智能": None, "技术": None}
+    with pytest.raises(Exception):         # no such file system: not a missing file
+        read_word_list(spark, "nowhere://x/dict.txt", fallback=path).collect()

@@ -7,6 +7,7 @@ texts of a batch are; one text larger than a block is a block of its own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +23,12 @@ _SPACE[list(WHITE_SPACE)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
-# Bases of the two polynomial hashes (odd, so they have inverses modulo 2**64).
+# Words of more bytes are digested one by one.
+_LONG_WORD = 4096
+# The first n of eight bytes, for n from 0 to 8.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+# Bases of the polynomial hashes of runs of words (odd, so they have inverses modulo 2**64).
 _BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD6E8FEB86659FD93, "other": 0xA0761D6478BD642F}
-_BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=np.uint64)
 _powers: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -120,13 +124,27 @@ class Words:
             pa.py_buffer(np.ascontiguousarray(self.data)))
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        power, inverse = _powers_of("byte", len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[self.data] * power[:-1], out=total[1:])
-        start, end = self.offsets[:-1], self.offsets[1:]
-        return mix((total[end] - total[start]) * inverse[start]
-                   + (end - start).astype(np.uint64))
+        """A 64-bit hash of each word's bytes.
+
+        Eight bytes at a time are mixed into the hash so far, for all words that
+        still have some; what is mixed twice is not linear in the bytes, unlike a
+        polynomial modulo 2**64, for which unlike words with equal hashes are
+        easily written.  Long words are digested one by one.
+        """
+        start, size = self.offsets[:-1], np.diff(self.offsets)
+        out = mix(size.astype(np.uint64), 1)
+        padded = np.concatenate((self.data, np.zeros(8, np.uint8)))
+        eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
+        live, done = np.flatnonzero((size > 0) & (size <= _LONG_WORD)), 0
+        while len(live):
+            left = size[live] - done
+            value = eight[start[live] + done].view("<u8").ravel() & _FIRST_BYTES[np.minimum(left, 8)]
+            out[live] = mix(out[live] ^ mix(value, 2), 3)
+            live, done = live[left > 8], done + 8
+        for i in np.flatnonzero(size > _LONG_WORD).tolist():
+            word = self.data[start[i]:start[i] + size[i]].tobytes()
+            out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return out
 
 
 class Runs:

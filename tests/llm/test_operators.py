@@ -470,3 +470,31 @@ def test_sketch_bound():
             assert all(ngram_jaccard.meets(a, b, s) for s in ngram_jaccard.FILTER_SEEDS)
         assert ngram_jaccard._common([a], [b])[0, 0] == common
     assert pa.__version__
+
+
+def thue_morse(n, a, b):
+    return [b if bin(i).count("1") % 2 else a for i in range(n)]
+
+
+def test_words_that_polynomial_hashes_take_for_equal(spark):
+    """Unlike words of 1,024 letters whose polynomials modulo 2**64 are equal for any base."""
+    a, b = "".join(thue_morse(1024, "a", "b")), "".join(thue_morse(1024, "b", "a"))
+    df = spark.createDataFrame([(1, f"{a} b c d e"), (2, f"{b} b c d e")], "doc_id long, text string")
+    same([tuple(r) for r in ngram_jaccard.near_duplicates(df).collect()], [(1, 1, 1), (2, 1, 2)])
+    texts = [" ".join([a] * 20 + [b] * 20 + [f"x{i}" for i in range(5)]),
+             " ".join([b] * 20 + [a] * 20 + [f"y{i}" for i in range(5)])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(df).collect()}
+    assert out == {0: 0, 1: 0}
+
+
+def test_word_hashes_tell_words_apart():
+    from lodestar.llm._text import Words
+
+    rnd = random.Random(5)
+    words = sorted({"".join(rnd.choice("ab\0é") for _ in range(rnd.randrange(1, 30)))
+                    for _ in range(5000)} | {"x" * n for n in range(1, 60)} | {"y" * 5000, "y" * 5001})
+    texts = pa.array([" ".join(words), None, "", "  ", words[7] + " " + words[9]])
+    h = Words(texts, lower=False).hashes()
+    assert len(set(h[:len(words)].tolist())) == len(words)
+    assert h[len(words):].tolist() == [h[7], h[9]]

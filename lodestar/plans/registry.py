@@ -34,6 +34,7 @@ DIGITS = 6
 SMALL_VOCAB = 1000      # a second vocabulary query where the cap actually cuts
 DEV_SAMPLE_ROWS = 100
 SNAPSHOT_BUCKETS = 16
+ARTICLE_BUCKETS = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,6 +167,17 @@ def q_user_embedding_plain(spark, d):
     return u.select("uid", round_array("user_vector", DIGITS).alias("user_vector"))
 
 
+def q_user_embedding_bucketed(spark, d):
+    """The plain form over tables stored in buckets of ``article_id``: neither side of
+    the join is shuffled."""
+    db = _database(spark, "buckets")
+    for df, name in ((_clicks(spark, d), "clicks"), (_kw_vec(spark, d), "article_top_terms_w2v")):
+        save_table(df, f"{db}.{name}", "parquet", bucket_by="article_id", buckets=ARTICLE_BUCKETS)
+    u = user_embedding(spark.table(f"{db}.clicks"), spark.table(f"{db}.article_top_terms_w2v"),
+                       preaggregate=False)
+    return u.select("uid", round_array("user_vector", DIGITS).alias("user_vector"))
+
+
 def q_user_embedding_daily(spark, d):
     """States stored day by day, as daily loads would: the days up to the 15th, then the
     later ones, with the 15th loaded once more; the mean is a merge of what is stored."""
@@ -292,6 +304,7 @@ QUERIES: dict[str, Query] = {
     "user_embedding": q_user_embedding,
     "user_embedding_plain": q_user_embedding_plain,
     "user_embedding_daily": q_user_embedding_daily,
+    "user_embedding_bucketed": q_user_embedding_bucketed,
     "latest_event": q_latest_event,
     "latest_event_folded": q_latest_event_folded,
     "article_clicks_by_day": q_article_clicks_by_day,
@@ -484,6 +497,7 @@ SELECT t.article_id, t.top_terms, a.terms FROM
     "user_embedding_plain": USER_MEAN,
     "content_chain": USER_MEAN,
     "user_embedding_daily": USER_MEAN,
+    "user_embedding_bucketed": USER_MEAN,
     "article_clicks_by_day": "WITH " + CLICKS + "\nSELECT uid, article_id FROM clicks",
     "article_clicks_on_days": "WITH busy AS (SELECT '202401' || strftime(o_orderdate, '%d') AS logday, "
         "count(*) AS n FROM orders GROUP BY 1),\n" + CLICKS.replace(

@@ -29,12 +29,22 @@ def read_table(spark: SparkSession, source: str, columns: Sequence[str] | None =
 
 
 def save_table(df: DataFrame, name: str, fmt: str = "orc", mode: str = "overwrite",
-               partition_by: Sequence[str] | None = None, path: str | None = None) -> None:
+               partition_by: Sequence[str] | None = None, path: str | None = None,
+               bucket_by: str | None = None, buckets: int | None = None) -> None:
     """Write a managed table (ORC by default; ``fmt="parquet"`` for S9).
 
-    With ``path`` the table is external at that location.
+    With ``path`` the table is external at that location.  With ``bucket_by`` it is
+    stored in ``buckets`` hash buckets of that column, each sorted by it and
+    written by one task: tables of equally many buckets join and aggregate on
+    the column without a shuffle.
     """
+    if bucket_by is not None:
+        if not buckets:
+            raise ValueError("bucket_by needs a number of buckets")
+        df = df.repartition(buckets, bucket_by)
     writer = df.write.mode(mode).format(fmt)
+    if bucket_by is not None:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:

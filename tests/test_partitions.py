@@ -6,8 +6,11 @@ import random
 
 from pyspark.sql import functions as F
 
-from lodestar.operators import article_clicks, fold_changes, latest_snapshot, read_snapshot
-from lodestar.sources import on_days, read_partitions, replace_partitions
+from lodestar.operators import (
+    article_clicks, document_vectors, fold_changes, keyword_vectors, latest_snapshot,
+    read_snapshot, user_embedding,
+)
+from lodestar.sources import on_days, read_partitions, replace_partitions, save_table
 
 EVENTS = ("distinct_id string, article_id string, logday string, event string, "
           "element_page string")
@@ -101,3 +104,33 @@ def test_a_tombstone_outlasts_an_older_change(spark, tmp_path):
     fold_changes(spark.createDataFrame([("a", 10, "new", False)], CHANGES), path, "k", "at", 2,
                  deleted="gone")
     assert [tuple(r) for r in read_snapshot(spark, path, schema).collect()] == [("a", 10, "new")]
+
+
+def test_joins_on_stored_buckets_shuffle_neither_side(spark):
+    clicks = spark.createDataFrame([(f"u{i % 4}", f"a{i % 9}") for i in range(60)],
+                                   "uid string, article_id string")
+    kw = spark.createDataFrame([(f"a{i % 11}", f"t{i}", [float(i), 1.0]) for i in range(40)],
+                               "article_id string, top_term string, vector array<double>")
+    words = spark.createDataFrame([(f"t{i}", [float(i), 1.0]) for i in range(30)],
+                                  "word string, vector array<double>")
+    save_table(clicks, "bucket_clicks", "parquet", bucket_by="article_id", buckets=4)
+    save_table(kw, "bucket_kw", "parquet", bucket_by="article_id", buckets=4)
+    save_table(kw.select("article_id", F.col("top_term").alias("term")), "bucket_top", "parquet",
+               bucket_by="term", buckets=4)
+    save_table(words, "bucket_words", "parquet", bucket_by="word", buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        users = user_embedding(spark.table("bucket_clicks"), spark.table("bucket_kw"),
+                               preaggregate=False)
+        text = plan(users)
+        assert "SortMergeJoin" in text and text.count("Exchange") == 1
+        assert "Exchange hashpartitioning(uid" in text       # the mean alone
+        assert "Exchange" not in plan(document_vectors(spark.table("bucket_kw")))
+        met = keyword_vectors(spark.table("bucket_top"), spark.table("bucket_words").hint("merge"),
+                              dims=1 << 40)
+        assert "Exchange" not in plan(met)
+        got = {r.uid: [round(x, 9) for x in r.user_vector] for r in users.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = user_embedding(clicks, kw, preaggregate=False).collect()
+    assert got == {r.uid: [round(x, 9) for x in r.user_vector] for r in want}

@@ -21,7 +21,8 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from lodestar.llm._text import LOWER, Words, row_blocks
 
 MAX_TOKENS = 2048
 SALTS = 256
+TOKENISED_BYTES = 1 << 22       # texts coded at once; they share the search for their units
 END_ID = 0
 # Kinds of bytes: a unit is a run of letters, one digit, or a run of others.
 _LETTER, _DIGIT = 1, 2
@@ -152,25 +154,37 @@ class WordTokenizer:
     ends a unit between letters, single digits and other characters, so a
     text's ids are those of its units, one after the other.  A block of texts is
     cut into units as one byte buffer; each distinct unit is tokenised once and
-    remembered (``cache_units`` bounds the memory).  Words where the units are
-    not that plain (not ASCII, an apostrophe, a special token's bracket) are
-    units as a whole.
+    remembered.  At most ``cache_units`` are kept between blocks; when they are too
+    many, the less used half goes.  Words where the units are not that plain
+    (not ASCII, an apostrophe, a special token's bracket) are units as a whole.
     """
 
-    def __init__(self, path: str, cache_units: int = 200_000):
+    def __init__(self, model: str | bytes, cache_units: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # the task is the unit of parallelism
         import tokenizers
 
-        self.tokenizer = tokenizers.Tokenizer.from_file(path)
+        self.tokenizer = (tokenizers.Tokenizer.from_buffer(model) if isinstance(model, bytes)
+                          else tokenizers.Tokenizer.from_file(model))
         self.cache_units = cache_units
         self.ends = np.array([str(self.tokenizer.id_to_token(i)).endswith("</w>")
                               for i in range(self.tokenizer.get_vocab_size())])
-        self._forget()
 
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {}      # units in the order of ``starts``
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.uses = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the more used half of ``cache_units``, in order of use."""
+        keep = np.argsort(-self.uses, kind="stable")[:self.cache_units // 2]
+        names = list(self.known)
+        size = np.diff(self.starts)[keep]
+        starts = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
+        self.ids = self.ids[np.repeat(self.starts[keep] - starts[:-1], size)
+                            + np.arange(starts[-1])]
+        self.starts = starts
+        self.known = {names[k]: i for i, k in enumerate(keep.tolist())}
+        self.uses = self.uses[keep] // 2     # what was common long ago fades
 
     def _learn(self, units: list[str]) -> None:
         """Append the ids of ``units``: plain ones joined, the others one by one."""
@@ -199,6 +213,7 @@ class WordTokenizer:
         self.starts = np.concatenate(
             (self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))))
         self.ids = np.concatenate(flat)
+        self.uses = np.append(self.uses, np.zeros(len(names), np.int64))
 
     def encode(self, column: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows back to back, with ``end_id`` after each, and the rows' bounds."""
@@ -207,13 +222,13 @@ class WordTokenizer:
             len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data)).dictionary_encode()
         unique = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         index = coded.indices.to_numpy(zero_copy_only=False)
-        new = [u for u in unique if u not in self.known]
-        if new:
-            if len(self.known) + len(new) > self.cache_units:
-                self._forget()
-                new = unique
-            self._learn(new)
-        at = np.fromiter(map(self.known.__getitem__, unique), np.int64, len(unique))
+        at = np.fromiter(map(self.known.get, unique, repeat(-1)), np.int64, len(unique))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            units = [unique[i] for i in new.tolist()]
+            self._learn(units)
+            at[new] = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        self.uses[at] += np.bincount(index, minlength=len(at))
         start, size = self.starts[at], self.starts[at + 1] - self.starts[at]
         per_unit = size[index]
         total = np.zeros(len(index) + 1, np.int64)
@@ -221,6 +236,8 @@ class WordTokenizer:
         where = np.repeat(start[index] - total[:-1], per_unit) + np.arange(total[-1])
         ids = self.ids[where]
         bounds = total[first]
+        if len(self.known) > self.cache_units:
+            self._forget()
         if end_id is None:
             return ids, bounds
         ids = np.insert(ids, bounds[1:], np.uint32(end_id))
@@ -252,12 +269,18 @@ def _units(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, cuts, np.searchsorted(cuts, words.offsets[words.first])
 
 
-def _pieces(batches, path: str, max_tokens: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    coder = WordTokenizer(path)
+@lru_cache(maxsize=1)
+def _coder(model: bytes) -> WordTokenizer:
+    """The tokenizer of this worker, which goes on from task to task."""
+    return WordTokenizer(model)
+
+
+def _pieces(batches, model: bytes, max_tokens: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    coder = _coder(model)
     narrow = len(coder.ends) <= 1 << 16
     for batch in batches:
         column = batch.column(2)
-        for first, last in row_blocks(column):
+        for first, last in row_blocks(column, TOKENISED_BYTES):
             ids, bounds = coder.encode(column.slice(first, last - first), END_ID)
             n = np.diff(bounds)
             pieces = -(-n // max_tokens)
@@ -291,7 +314,7 @@ def token_pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str
     ``(doc_id, salt, piece, start, length, ids_crc32[, ids])``; ``ids`` are
     little-endian, of 2 bytes each where the vocabulary has at most 65,536
     entries, else of 4; the crc is always that of 4 bytes each.  A null text is an empty one: its single
-    piece is the end id.
+    piece is the end id.  ``path`` is read on the driver and sent to the tasks.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
@@ -299,7 +322,10 @@ def token_pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str
                               F.lit(SALTS)).cast("int").alias("salt"), text.alias("text"))
     schema = ("doc_id long, salt int, piece int, start long, length long, ids_crc32 long"
               + (", ids binary" if with_ids else ""))
-    return rows.transform(in_tasks, lambda it: _pieces(it, path, max_tokens, with_ids), schema)
+    with open(path, "rb") as file:         # some megabytes, whatever the input
+        model = docs.sparkSession.sparkContext.broadcast(file.read())
+    return rows.transform(
+        in_tasks, lambda it: _pieces(it, model.value, max_tokens, with_ids), schema)
 
 
 def place_pieces(pieces: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:

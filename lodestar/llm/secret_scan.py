@@ -12,8 +12,8 @@ The index and the queries ignore case, so they can only let too many through.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
-from functools import reduce
 from re import _constants as K
 from re import _parser
 
@@ -66,6 +66,9 @@ RULES = BASE_RULES + MORE_RULES
 MASK = "[SECRET]"
 _MOST_STRINGS = 64
 _MOST_TRIGRAMS = 4
+FOLDED = 128            # matches of one text that are folded at once
+MASKED = 512            # spans of one text that are masked at once
+SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 # A query is None (any text may match) or a set of alternatives, each the set
 # of trigrams that must all occur.
@@ -171,37 +174,97 @@ def _postings(rows: DataFrame, trigrams: list[str]) -> DataFrame:
         F.explode("held").alias("trigram"), "key")
 
 
-def _holds(query: Query) -> Column:
-    return reduce(Column.__or__, [
-        reduce(Column.__and__, [F.array_contains("grams", t) for t in sorted(every)])
-        for every in sorted(query, key=sorted)])
+def _candidates(rows: DataFrame, queries: list[Query]) -> DataFrame:
+    """``(key, rules)``: the numbers of the rules whose query each text meets.
 
+    The postings of an alternative's trigrams are intersected by collecting one bit
+    for each of them, alternatives are united per rule.  Texts that meet none
+    are missing.
+    """
+    wanted = [{"trigram": t, "rule": rule, "alternative": number, "bit": 1 << bit,
+               "whole": (1 << len(every)) - 1}
+              for rule, query in enumerate(queries) if query is not None
+              for number, every in enumerate(sorted(query, key=sorted))
+              for bit, t in enumerate(sorted(every))]
+    # one row for each trigram of each alternative: the rules' own size
+    needs = rows.sparkSession.range(1).select(F.inline(F.from_json(
+        F.lit(json.dumps(wanted)),
+        "array<struct<trigram:string,rule:int,alternative:int,bit:int,whole:int>>")))
+    postings = _postings(rows, sorted({w["trigram"] for w in wanted}))
+    return (postings.join(F.broadcast(needs), "trigram")
+            .groupBy("key", "rule", "alternative", "whole").agg(F.bit_or("bit").alias("bits"))
+            .where("bits = whole").groupBy("key").agg(F.collect_set("rule").alias("rules")))
 
-def _matches(rule: Rule, number: int, candidate: Column) -> Column:
-    """Spans of one rule: array of ``(start, kind, end)`` in code points.
 
-    The text between matches and the matches themselves tell every place: a
-    match starts after the lengths of all that stands before it.
-    """
+def _chunks(items: Column, size: int) -> Column:
+    """The numbers 0.. of the chunks of an array that is not empty."""
+    return F.sequence(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int"))
+
+
+def _chunk(items: Column, number: Column, size: int) -> Column:
+    return F.slice(items, number * size + 1, F.lit(size))
+
+
+def _lengths(rule: Rule, found: Column) -> Column:
+    """Of every match ``found`` in order: the characters up to its end from the end
+    of the match before it, its own, and those that the rule counts."""
     text, pattern = F.col("text"), F.lit(rule.pattern)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
     value = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
-    between = F.split(text, rule.pattern, -1)
-    one = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("gap"),
-                       found.alias("found"), value.alias("value"))
-    start = F.struct(F.lit(0).alias("at"),
-                     F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("spans"))
+    between = F.slice(F.split(text, rule.pattern, -1), F.lit(1), F.size(found))
+    one = F.arrays_zip(between.alias("gap"), found.alias("found"), value.alias("value"))
+    return F.when(F.size(found) > 0, F.transform(one, lambda x: F.struct(
+        (F.length(x["gap"]) + F.length(x["found"])).alias("step"),
+        F.length(x["found"]).alias("size"), F.length(x["value"]).alias("counted"))))
+
+
+def _spans(rule: Rule, number: int, items: Column) -> Column:
+    """Spans of one rule: array of ``(start, kind, end)`` in code points.
+
+    Places are running sums of lengths: inside chunks, then over the chunks, so
+    no array as long as the matches is copied for each of them.
+    """
+    nothing = F.array().cast(SPANS)
+    zero = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
 
     def step(acc, x):
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["found"])
-        span = F.struct(begin.alias("start"), F.lit(number).alias("kind"), end.alias("end"))
+        end = acc["at"] + x["step"]
+        span = F.struct((end - x["size"]).alias("start"), F.lit(number).alias("kind"),
+                        end.alias("end"))
         return F.struct(end.alias("at"), F.when(
-            F.length(x["value"]) >= rule.least, F.concat(acc["spans"], F.array(span))
+            x["counted"] >= rule.least, F.concat(acc["spans"], F.array(span))
         ).otherwise(acc["spans"]).alias("spans"))
 
-    spans = F.aggregate(one, start, step, lambda acc: acc["spans"])
-    return F.when(candidate & text.rlike(rule.pattern), spans).otherwise(start["spans"])
+    parts = F.transform(_chunks(items, FOLDED), lambda c: F.aggregate(_chunk(items, c, FOLDED), zero, step))
+    before = F.aggregate(parts, F.array(F.lit(0)), lambda acc, p: F.concat(
+        acc, F.array(F.element_at(acc, -1) + p["at"])))
+    # ``before`` has one entry more than there are parts
+    moved = F.zip_with(F.slice(before, F.lit(1), F.size(_chunks(items, FOLDED))), parts,
+                       lambda add, p: F.transform(p["spans"], lambda s: F.struct(
+                           (s["start"] + add).alias("start"), s["kind"].alias("kind"),
+                           (s["end"] + add).alias("end"))))
+    return F.when(F.size(items) > 0, F.flatten(moved)).otherwise(nothing)
+
+
+def _scanned(docs: DataFrame, text_col: str, id_col: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """``(row, text, spans)``: every row whole, so that no name of it can clash."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    # a key that two different rows share could only add candidates
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       text.alias("text"),
+                       F.xxhash64(F.col(f"`{id_col}`"), text).alias("key"))
+    queries = [trigram_query(r.pattern) for r in rules]
+    if any(q is not None for q in queries):
+        rows = rows.join(_candidates(rows.select("key", "text"), queries), "key", "left")
+    matches = [F.regexp_extract_all("text", F.lit(r.pattern), F.lit(0)) for r in rules]
+    # three steps, each used more than once by the next: every expression runs once a text
+    found = rows.select("row", "text", *[
+        (m if q is None else F.when(F.array_contains("rules", i), m)).alias(f"found_{i}")
+        for i, (q, m) in enumerate(zip(queries, matches))])
+    items = found.select("row", "text", *[
+        _lengths(r, F.col(f"found_{i}")).alias(f"items_{i}") for i, r in enumerate(rules)])
+    every = F.array_sort(F.concat(*[
+        _spans(r, i, F.col(f"items_{i}")) for i, r in enumerate(rules)]))
+    return items.select("row", "text", every.alias("spans"))
 
 
 def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -214,23 +277,9 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     rows.  All columns of ``docs`` stay (one named like the added column is
     replaced).
     """
-    spans = names[1]
-    kept = docs.drop(spans)
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    # a key that two different rows share could only add candidates
-    rows = kept.select(F.struct(*[f"`{c}`" for c in kept.columns]).alias("row"),
-                       text.alias("text"),
-                       F.xxhash64(F.col(f"`{id_col}`"), text).alias("key"))
-    queries = {r: trigram_query(r.pattern) for r in rules}
-    trigrams = sorted({t for q in queries.values() if q for every in q for t in every})
-    grams = (_postings(rows.select("key", "text"), trigrams).groupBy("key")
-             .agg(F.collect_set("trigram").alias("grams")))
-    joined = rows.join(grams, "key", "left") if trigrams else rows
-    found = [_matches(r, i, F.lit(True) if queries[r] is None
-                      else F.coalesce(_holds(queries[r]), F.lit(False)))
-             for i, r in enumerate(rules)]
-    every = F.array_sort(F.concat(*found))
-    return joined.select("row", every.alias("__spans")).select("row.*", F.col("__spans").alias(spans))
+    found = _scanned(docs, text_col, id_col, rules)
+    return found.select(*[F.col(f"row.`{c}`") for c in docs.columns if c != names[1]],
+                        F.col("spans").alias(names[1]))
 
 
 def span_list(spans: Column, rules: tuple[Rule, ...] = RULES, kinds: int | None = None) -> Column:
@@ -253,28 +302,51 @@ def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     Overlapping spans are replaced together.  ``length_col``, if the table has
     it, is set to the new length where a text changed.
     """
-    found = scan(docs, text_col, id_col, rules, names=("text", "__found"))
-    text, spans = F.col(f"`{text_col}`"), F.col("__found")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        apart = s["start"] >= acc["at"]
-        out = F.when(apart, F.concat(acc["out"], F.substring(
-            text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
-    clean = F.aggregate(spans, start, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    found = _scanned(docs, text_col, id_col, rules)
+    spans, text = F.col("spans"), F.col("text")
+    # how far spans reach before each chunk of them, and after the last
+    reach = F.aggregate(
+        F.transform(_chunks(spans, MASKED), lambda c: F.array_max(
+            F.transform(_chunk(spans, c, MASKED), lambda s: s["end"]))),
+        F.array(F.lit(0)),
+        lambda acc, e: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), e))))
+    found = found.select("row", "text", "spans",
+                         F.when(F.size(spans) > 0, reach).alias("reach"))
+    reach = F.col("reach")
+
+    def cut(c, x):
+        """A chunk's spans and its part of the text, which later steps need not walk again."""
+        return F.struct(
+            _chunk(spans, c, MASKED).alias("spans"), x.alias("at"),
+            F.substring(text, x + 1, F.element_at(reach, c + 2) - x).alias("part"))
+
+    def mask(chunk):
+        def step(acc, s):
+            apart = s["start"] >= acc["at"]
+            gap = F.substring(chunk["part"], acc["at"] - chunk["at"] + 1, s["start"] - acc["at"])
+            return F.struct(
+                F.greatest(acc["at"], s["end"]).alias("at"),
+                F.when(apart, F.concat(acc["out"], gap, F.lit(MASK)))
+                .otherwise(acc["out"]).alias("out"))
+
+        start = F.struct(chunk["at"].alias("at"), F.lit("").alias("out"))
+        return F.aggregate(chunk["spans"], start, step, lambda acc: acc["out"])
+
+    chunks = F.zip_with(_chunks(spans, MASKED), F.slice(reach, F.lit(1), F.size(reach) - 1), cut)
+    tail = F.substring(text, F.element_at(reach, -1) + 1, F.length(text))
     has = F.size(spans) > 0
-    out = found.withColumn("__clean", F.when(has, clean).otherwise(text))
+    clean = F.concat(F.array_join(F.transform(chunks, mask), ""), tail)
+    out = found.select("row", has.alias("has"), F.when(has, clean).alias("clean"))
     columns = []
     for c in docs.columns:
+        old = F.col(f"row.`{c}`")
         if c == text_col:
-            columns.append(F.col("__clean").alias(c))
+            columns.append(F.when(F.col("has"), F.col("clean"))
+                           .otherwise(old).alias(c))
         elif c == length_col:
             kind = docs.schema[c].dataType
-            columns.append(F.when(has, F.length("__clean").cast(kind))
-                           .otherwise(F.col(f"`{c}`")).alias(c))
+            columns.append(F.when(F.col("has"), F.length("clean").cast(kind))
+                           .otherwise(old).alias(c))
         else:
-            columns.append(F.col(f"`{c}`"))
+            columns.append(old.alias(c))
     return out.select(*columns)

@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import sys
 import zlib
 
@@ -162,6 +163,24 @@ def test_substring_removal(docs):
     same([tuple(r) for r in substring_dedup.remove_repeats(docs).collect()], want)
 
 
+def test_many_secrets_in_one_text(spark):
+    """More matches than one fold takes, next to each other, overlapping and apart."""
+    keys = ["%032x" % (i * 7919) for i in range(1500)]
+    texts = [" ".join(keys), " x ".join(f"token={k}" for k in keys), "é\n".join(keys) + " end"]
+    df = spark.createDataFrame(
+        [(i, t, "kept", 5) for i, t in enumerate(texts)],
+        "doc_id long, text string, __found string, spans int")
+    got = {r.doc_id: r for r in secret_scan.scan(df.drop("spans")).collect()}
+    for i, t in enumerate(texts):
+        hexes = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]{24,}", t)]
+        assert [(s.start, s.end) for s in got[i].spans if s.kind == 2] == hexes
+    clean = {r.doc_id: r for r in secret_scan.redact(df).collect()}
+    assert clean[0].text == " ".join(["[SECRET]"] * 1500)
+    assert clean[1].text == " x ".join(["[SECRET]"] * 1500)
+    assert clean[2].text == "é\n".join(["[SECRET]"] * 1500) + " end"
+    assert {(r["__found"], r.spans) for r in clean.values()} == {("kept", 5)}
+
+
 def test_secrets(docs):
     out = secret_scan.scan(docs)
     assert set(docs.columns) <= set(out.columns)

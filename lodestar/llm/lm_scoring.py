@@ -3,18 +3,14 @@
 A text is its words (A-Z in lower case) and one end.  A word's lattice has the
 pieces of an existing vocabulary as arcs, the first with the vocabulary's space
 in front; its weight sums over *all* segmentations, by a forward recursion in
-log space.  Piece probabilities start from the vocabulary's own scores and are
-re-estimated from the training documents by expectation maximisation: the
-expected use of every piece over the segmentations of every training word.
+log space.  The marginal probability of a text is the product of its words'
+sums and the end's probability: nothing but pieces spells a word.
 
-One more arc spans the whole word: the words seen in training, by absolute
-discounting.  With counts c, N tokens, V types and discount d,
-
-    P(word) = max(c - d, 0) / N  +  d V / N * P(lattice of pieces)
-
-which sums to one over all words and the end, so ``score`` is the log of a
-proper probability (it is compared with a baseline that is not: that one gives
-every unseen word the weight of a single type).
+Piece probabilities start from the vocabulary's own scores and are re-estimated
+from the training documents by ``rounds`` of expectation maximisation: the
+expected use of every piece over the segmentations of all training words, as
+often as they occur, with the number of texts for the end.  Pieces, bytes and the
+end share one distribution.
 
 Scoring runs per distinct word, not per occurrence:
 
@@ -37,13 +33,12 @@ from pyspark.sql import functions as F
 from lodestar.llm._spark import in_tasks, joined, remainder, saved
 from lodestar.llm._text import Words, row_blocks
 from lodestar.llm.lattice import (
-    NEVER, SPACE, Pieces, expected_counts, load_vocabulary, log_marginals,
+    SPACE, Pieces, expected_counts, load_vocabulary, log_marginals,
 )
 
 FREQUENT = 1 << 17      # words that are broadcast; at most 2**17 words of MAX_SENT characters
 MAX_SENT = 64
 ROUNDS = 2
-DISCOUNT = 0.75
 SMOOTHING = 0.1
 LOG10 = math.log(10)
 
@@ -73,43 +68,35 @@ def _count_words(batches):
 class Lattice:
     """The model; as large as the vocabulary, sent to the tasks."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, tokens: int, types: int, ends: int):
+        self.tokens, self.types, self.ends = tokens, types, ends
         self.pieces, _ = load_vocabulary(path)
-        # the vocabulary's scores are ranks: start from the inverse rank
+        # the vocabulary's scores are ranks: start from the inverse rank, as if
+        # each training word were one piece
         first = self.pieces.scores[:-1]
         start = 1.0 / (1.0 + first.max() - first)
-        self.tokens = self.types = self.ends = 0
-        self.fit(start * 1e6 / start.sum(), np.full(256, 1.0))
+        self.fit(start * max(tokens - ends, 1) / start.sum(), np.zeros(256))
 
     def fit(self, counts: np.ndarray, byte_counts: np.ndarray) -> None:
-        """Piece probabilities from (expected) counts, in the order of the sorted keys."""
-        counts, byte_counts = counts + SMOOTHING, byte_counts + SMOOTHING
-        total = math.log(counts.sum() + byte_counts.sum())
+        """Probabilities from (expected) counts of the pieces, in the order of the sorted keys."""
+        counts, byte_counts, end = counts + SMOOTHING, byte_counts + SMOOTHING, self.ends + SMOOTHING
+        total = math.log(counts.sum() + byte_counts.sum() + end)
         self.pieces.scores[:-1] = np.log(counts) - total
         self.pieces.byte_scores = np.log(byte_counts) - total
+        self.end = math.log(end) - total
 
-    def log10(self, words: list[str], counts: np.ndarray) -> np.ndarray:
-        """log10 P of words that occur ``counts`` times in training."""
-        pieces = log_marginals(self.pieces, [SPACE + w for w in words])
-        if not self.tokens:
-            return pieces / LOG10
-        seen = np.maximum(counts - DISCOUNT, 0) / self.tokens
-        whole = np.log(seen, out=np.full(len(words), NEVER), where=seen > 0)
-        rest = math.log(DISCOUNT * self.types / self.tokens)
-        return np.logaddexp(whole, rest + pieces) / LOG10
-
-    def log10_end(self) -> float:
-        return math.log10((self.ends - DISCOUNT) / self.tokens) if self.tokens else 0.0
+    def log10(self, words: list[str]) -> np.ndarray:
+        """log10 of the summed weight of all segmentations of each word."""
+        return log_marginals(self.pieces, [SPACE + w for w in words]) / LOG10
 
 
 def _expect(batches, model):
-    """Expected use of every piece and byte over this partition's words, each once:
-    the lattice has to account for words as types, occurrences have their own arc."""
+    """Expected use of every piece and byte over this partition's training words."""
     lattice: Pieces = model.value.pieces
     total = np.zeros(len(lattice.keys) + 256)
     for batch in joined(batches):
         words = [SPACE + w for w in batch.column(0).to_pylist()]
-        total += np.concatenate(expected_counts(lattice, words, np.ones(len(words))))
+        total += np.concatenate(expected_counts(lattice, words, batch.column(1).to_numpy()))
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["piece", "n"])
 
@@ -120,21 +107,19 @@ def train(words: DataFrame, train_docs: int, path: str, rounds: int = ROUNDS) ->
     What reaches the driver is one number for each piece of the vocabulary.
     """
     spark = words.sparkSession
-    model = Lattice(path)
-    size = len(model.pieces.keys)
     known = words.where("trained > 0")
+    totals = known.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.count(F.lit(1))).first()
+    model = Lattice(path, totals[0] + train_docs, totals[1] + (train_docs > 0), train_docs)
+    size = len(model.pieces.keys)
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(model)
         counts = np.zeros(size + 256)
-        for r in (known.select("word")
+        for r in (known.select("word", "trained")
                   .transform(in_tasks, lambda it: _expect(it, sent), "piece long, n double")
                   .groupBy("piece").agg(F.sum("n").alias("n")).collect()):
             counts[r["piece"]] = r["n"]
         if counts.any():
             model.fit(counts[:size], counts[size:])
-    totals = known.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.count(F.lit(1))).first()
-    model.ends = train_docs
-    model.tokens, model.types = totals[0] + train_docs, totals[1] + (train_docs > 0)
     return model
 
 
@@ -163,11 +148,11 @@ def _look_up(batches, frequent):
     table, bases, scores = frequent.value
     index = {w: i for i, w in enumerate(table)}
     for batch in batches:
-        column = batch.column(1)
+        column = batch.column(2)
         for first, last in row_blocks(column):
             n = last - first
             words = Words(column.slice(first, n), lower=True)
-            key = batch.column(0).slice(first, n)
+            key, key2 = (batch.column(i).slice(first, n) for i in (0, 1))
             coded = words.arrow().dictionary_encode()
             unique = coded.dictionary.to_pylist()
             number = np.array([index.get(w, -1) for w in unique], np.int64)
@@ -181,16 +166,16 @@ def _look_up(batches, frequent):
             pair, times = np.unique(rare_doc * max(len(unique), 1) + rare_code, return_counts=True)
             rare_doc, rare_code = pair // max(len(unique), 1), pair % max(len(unique), 1)
             m = len(pair)
-            keys = key.to_numpy()
+            rare = pa.array(rare_doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([key, pa.array(keys[rare_doc])]),
+                [*[pa.concat_arrays([k, k.take(rare)]) for k in (key, key2)],
                  pa.concat_arrays([pc.binary_join_element_wise(
                      key.cast(pa.string()), pa.array([" "] * n), ""),
                      coded.dictionary.cast(pa.string()).take(pa.array(rare_code))]),
                  pa.array(np.concatenate((words.counts, np.zeros(m, np.int64)))),
                  pa.array(np.concatenate((np.zeros(n, np.int64), times))),
                  *[pa.array(np.concatenate((x, np.zeros(m)))) for x in sums]],
-                names=["key", "word", "n_words", "times", "base", "model", "known"])
+                names=["key", "key2", "word", "n_words", "times", "base", "model", "known"])
 
 
 def score_documents(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id",
@@ -198,8 +183,9 @@ def score_documents(docs: DataFrame, path: str, text_col: str = "text", id_col:
                     frequent: int = FREQUENT) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row.
 
-    ``score`` is the lattice model's log10 probability of the whole text and
-    its end, ``base_score`` that of the smoothed word-unigram baseline.
+    ``score`` is the log10 of the text's marginal probability (all segmentations of
+    its words, and its end), ``base_score`` that of the smoothed word-unigram
+    baseline.  ``rounds=0`` keeps the vocabulary's own scores.
     Learns from the rows that are not ``held_out`` (default: crc32 of the id,
     a null id being '', modulo 5 is 1).  A null text counts as empty: one
     token, its end.  Repeated rows count and are returned as often as they
@@ -227,27 +213,29 @@ def score_documents(docs: DataFrame, path: str, text_col: str = "text", id_col:
     trained = np.array([r["trained"] for r in top], np.float64)
     sent = spark.sparkContext.broadcast(
         (table, (np.log10(trained + 0.5), (trained > 0).astype(np.float64)),
-         model.log10(table, trained)))
+         model.log10(table)))
     lattice = spark.sparkContext.broadcast(model)
 
     def marginals(batches):
         for batch in joined(batches):
-            score = lattice.value.log10(batch.column(0).to_pylist(), batch.column(1).to_numpy())
+            score = lattice.value.log10(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(score)],
                 names=["word", "trained", "log10"])
 
     rest = (stepped.where(~is_top).select("word", "trained")
             .transform(in_tasks, marginals, "word string, trained long, log10 double"))
-    # rows of one key are repetitions of one row; their sums are divided again
-    keyed = rows.withColumn("key", F.xxhash64("doc_id", "text"))
-    found = (keyed.select("key", "text")
+    # rows of one key (128 bits) are repetitions of one row; their sums are divided again
+    key = ["key", "key2"]
+    keyed = rows.select("*", F.xxhash64("doc_id", "text").alias("key"),
+                        F.xxhash64(F.lit(1), F.col("doc_id"), F.col("text")).alias("key2"))
+    found = (keyed.select(*key, "text")
              .transform(in_tasks, lambda it: _look_up(it, sent),
-                         "key long, word string, n_words long, times long, "
+                         "key long, key2 long, word string, n_words long, times long, "
                          "base double, model double, known double")
              .join(rest, "word", "left"))
     times = F.col("times")
-    sums = found.groupBy("key").agg(
+    sums = found.groupBy(*key).agg(
         F.count(F.when(times == 0, 1)).alias("copies"),
         F.sum("n_words").alias("n_words"),
         F.sum(F.col("base") + times * F.coalesce(F.log10(F.col("trained") + 0.5), F.lit(0.0)))
@@ -256,14 +244,14 @@ def score_documents(docs: DataFrame, path: str, text_col: str = "text", id_col:
         F.sum(F.col("known") + F.when(F.col("trained") > 0, times).otherwise(0)).alias("known"))
     end_known = 1 if train_docs > 0 else 0
     per_text = sums.select(
-        "key", (F.col("n_words") / F.col("copies")).cast("long").alias("n_words"),
+        *key, (F.col("n_words") / F.col("copies")).cast("long").alias("n_words"),
         (F.col("base") / F.col("copies")).alias("base"),
         (F.col("model") / F.col("copies")).alias("model"),
         F.round(F.col("known") / F.col("copies")).cast("long").alias("known"))
     n_tokens = F.col("n_words") + 1
-    return (keyed.select("doc_id", "held_out", "key").join(per_text, "key").select(
+    return (keyed.select("doc_id", "held_out", *key).join(per_text, key).select(
         "doc_id", "held_out", n_tokens.alias("n_tokens"),
         (F.col("known") + end_known).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.lit(math.log10(train_docs + 0.5)) - n_tokens * F.lit(below))
         .alias("base_score"),
-        (F.col("model") + F.lit(model.log10_end())).alias("score")))
+        (F.col("model") + F.lit(model.end / LOG10)).alias("score")))

@@ -36,6 +36,60 @@ def base_scores(rows):
     return out
 
 
+def lattice_scores(rows, ranks, rounds, smoothing):
+    """log10 marginal probability of each (doc_id, text), one dict step at a time."""
+    seen, ends = Counter(), 0
+    for i, t in rows:
+        if fold(i, 5) != 1:
+            seen.update(words(t, True))
+            ends += 1
+    top, longest = max(ranks.values()), max(map(len, ranks))
+    start = {p: 1 / (1 + top - r) for p, r in ranks.items()}
+    scale = max(sum(seen.values()), 1) / sum(start.values())
+
+    def fitted(counts):
+        end = ends + smoothing
+        every = {**{p: counts.get(p, 0) + smoothing for p in ranks},
+                 **{b: counts.get(b, 0) + smoothing for b in range(256)}}
+        total = sum(every.values()) + end
+        return {k: math.log(v / total) for k, v in every.items()}, math.log(end / total)
+
+    def arcs(w):
+        for a in range(len(w)):
+            if w[a] not in ranks:
+                yield a, a + 1, list(w[a].encode())
+            for b in range(a + 1, min(len(w), a + longest) + 1):
+                if w[a:b] in ranks:
+                    yield a, b, [w[a:b]]
+
+    def add(table, at, x):
+        old = table[at]
+        m = max(old, x)
+        table[at] = x if old == -math.inf else m + math.log(math.exp(old - m) + math.exp(x - m))
+
+    def forward(w, logp):
+        alpha = [0.0] + [-math.inf] * len(w)
+        for a, b, used in arcs(w):
+            add(alpha, b, alpha[a] + sum(logp[u] for u in used))
+        return alpha
+
+    logp, end = fitted({p: x * scale for p, x in start.items()})
+    for _ in range(rounds if seen else 0):
+        counts = defaultdict(float)
+        for word, n in seen.items():
+            w = "\u2581" + word
+            alpha, beta = forward(w, logp), [-math.inf] * len(w) + [0.0]
+            for a, b, used in sorted(arcs(w), key=lambda x: -x[0]):
+                add(beta, a, beta[b] + sum(logp[u] for u in used))
+            for a, b, used in arcs(w):
+                share = n * math.exp(alpha[a] + sum(logp[u] for u in used) + beta[b] - alpha[-1])
+                for u in used:
+                    counts[u] += share
+        logp, end = fitted(counts)
+    known = {w: forward("\u2581" + w, logp)[-1] for _, t in rows for w in set(words(t, True))}
+    return [(sum(known[w] for w in words(t, True)) + end) / math.log(10) for _, t in rows]
+
+
 def shingle_sets(texts, size=5):
     out = []
     for t in texts:

@@ -36,6 +36,7 @@ from lodestar.llm._text import Runs, Words, row_blocks
 
 WINDOW = 35
 ANCHOR = 10
+KEY = ["key", "key2"]
 _PLACE_BITS = 8    # a path has at most WINDOW - ANCHOR + 1 windows
 
 
@@ -82,24 +83,30 @@ class Paths:
         return ((start - self.words.first[doc]) << _PLACE_BITS) | size
 
 
+def _keys(batch: pa.RecordBatch, rows: np.ndarray) -> list[pa.Array]:
+    """Both halves of the rows' keys."""
+    at = pa.array(rows)
+    return [batch.column(0).take(at), batch.column(1).take(at)]
+
+
 def _paths(batches, window: int, anchor: int):
     for batch in batches:
-        column, keys = batch.column(1), batch.column(0).to_numpy()
+        column = batch.column(2)
         for first, last in row_blocks(column):
             p = Paths(column.slice(first, last - first), window, anchor)
             if len(p.start):
                 text = p.runs.of(p.start, p.start + p.size + window - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [longs(p.anchor), longs(text), pa.array(keys[first:last][p.doc]),
+                    [longs(p.anchor), longs(text), *_keys(batch, first + p.doc),
                      pa.array(p.place(p.start, p.doc, p.size))],
-                    names=["anchor", "h", "key", "place"])
+                    names=["anchor", "h", "key", "key2", "place"])
 
 
 def _windows(batches, window: int, anchor: int, branching):
     """The single windows of every path whose anchor may branch."""
     packed = branching.value
     for batch in batches:
-        column, keys = batch.column(1), batch.column(0).to_numpy()
+        column = batch.column(2)
         for first, last in row_blocks(column):
             p = Paths(column.slice(first, last - first), window, anchor)
             if not len(p.start):
@@ -112,9 +119,9 @@ def _windows(batches, window: int, anchor: int, branching):
             if len(start):
                 yield pa.RecordBatch.from_arrays(
                     [longs(np.repeat(p.anchor[hit], size)),
-                     longs(p.runs.of(start, start + window)), pa.array(keys[first:last][doc]),
+                     longs(p.runs.of(start, start + window)), *_keys(batch, first + doc),
                      pa.array(p.place(start, doc, 1))],
-                    names=["anchor", "h", "key", "place"])
+                    names=["anchor", "h", "key", "key2", "place"])
 
 
 def _remove(batches, window: int, texts: bool):
@@ -153,31 +160,32 @@ def _remove(batches, window: int, texts: bool):
 def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    return rows.select("*", F.xxhash64("doc_id", "text").alias("key"),
+                       F.xxhash64(F.lit(1), F.col("doc_id"), F.col("text")).alias("key2"))
 
 
 def repeated_windows(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                      window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """``(key, place)``: repeated windows by source coordinates.
+    """``(key, key2, place)``: repeated windows by source coordinates.
 
-    ``key`` is xxhash64 of id and text; ``place`` is the first window's first word,
+    ``key`` and ``key2`` are 128 bits of id and text; ``place`` is the first window's first word,
     shifted by 8 bits, and the number of windows from there on.
     """
     if window - anchor + 1 >= 1 << _PLACE_BITS:
         raise ValueError("a path's windows must fit the place's low bits")
-    texts = _keyed(docs, text_col, id_col).select("key", "text")
-    schema = "anchor long, h long, key long, place long"
+    texts = _keyed(docs, text_col, id_col).select(*KEY, "text")
+    schema = "anchor long, h long, key long, key2 long, place long"
     by_anchor = Window.partitionBy("anchor")
     by_path = Window.partitionBy("anchor", "h")
     paths = saved(texts.transform(in_tasks, lambda it: _paths(it, window, anchor), schema)
                   .withColumn("m", F.count(F.lit(1)).over(by_anchor)).where("m > 1")
                   .withColumn("again", F.count(F.lit(1)).over(by_path) > 1)
-                  .select("anchor", "key", "place", "again"))
+                  .select("anchor", *KEY, "place", "again"))
     branching = docs.sparkSession.sparkContext.broadcast(
         bitmap(paths.where("NOT again").select("anchor").distinct(), "anchor"))
     single = (texts.transform(in_tasks, lambda it: _windows(it, window, anchor, branching), schema)
               .withColumn("m", F.count(F.lit(1)).over(by_path)).where("m > 1"))
-    return paths.where("again").select("key", "place").union(single.select("key", "place"))
+    return paths.where("again").select(*KEY, "place").union(single.select(*KEY, "place"))
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -195,7 +203,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     rows = _keyed(docs, text_col, id_col)
     # a set: repeated rows share their key and state the same places
     places = (repeated_windows(docs, text_col, id_col, window, anchor)
-              .groupBy("key").agg(F.collect_set("place").alias("places")))
-    return (rows.join(places, "key", "left").select("doc_id", "text", "places")
+              .groupBy(*KEY).agg(F.collect_set("place").alias("places")))
+    return (rows.join(places, KEY, "left").select("doc_id", "text", "places")
             .transform(in_tasks, lambda it: _remove(it, window, texts),
                         "doc_id long, n_words long, n_removed long, kept string"))

@@ -48,6 +48,29 @@ def test_stages(spark):
         docs = out
 
 
+def test_run(spark, tmp_path):
+    """``run`` is its stages one after the other, on awkward rows and on none."""
+    schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = [None, "", "12 34", base, base, base.replace("w30 ", "other "), "password = hunter22x",
+             "alone", "long " * 5000, "long " * 5000]
+    rows = [(n if n != 7 else None, t, "en", "s", None if t is None else len(t))
+            for n, t in enumerate(texts)]
+    for name, some in (("rows", rows), ("none", [])):
+        folder = tmp_path / name
+        spark.createDataFrame(some, schema).write.parquet(str(folder / "documents.parquet"))
+        got = corpus_pipeline.run(spark, str(folder)).collect()
+        docs = spark.createDataFrame(some, schema)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = spark.createDataFrame(stage(spark, docs, str(folder)).collect(), schema)
+        assert {r["doc_id"] for r in got} == {r["doc_id"] for r in docs.collect()}
+        assert {r["doc_id"] for r in got} == ({4, 6, None, 9} if some else set())
+        ends = {}
+        for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+            assert r["offset"] == ends.get(r["sequence_id"], 0) and r["length"] <= 2048
+            ends[r["sequence_id"]] = r["offset"] + r["length"]
+
+
 def test_run_is_registered(spark):
     import __spark_entry__ as entry
 

@@ -122,21 +122,37 @@ def _arc_scores(pieces: Pieces, codes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return found, score
 
 
+def _stripe(pieces: Pieces, codes: np.ndarray) -> int:
+    """How many positions of a block are looked up at once (all, but for very long words)."""
+    return max(pieces.longest, BLOCK_ENTRIES // (len(codes) * pieces.longest))
+
+
+def _arcs(pieces: Pieces, codes: np.ndarray):
+    """``(a, b, found, score)`` of the pieces that end after the characters ``a .. b-1``."""
+    length, step = codes.shape[1], _stripe(pieces, codes)
+    for a in range(0, length, step):
+        b = min(a + step, length)
+        lead = min(a, pieces.longest - 1)
+        found, score = _arc_scores(pieces, codes[:, a - lead:b])
+        yield a, b, found[:, :, lead:], score[:, :, lead:]
+
+
 def _log_sum(x: np.ndarray) -> np.ndarray:
     top = x.max(axis=0)
     return top + np.log(np.exp(x - top).sum(axis=0))
 
 
-def _forward(score: np.ndarray) -> np.ndarray:
+def _forward(pieces: Pieces, codes: np.ndarray) -> np.ndarray:
     """``alpha[:, i]``: log of the summed weight of all segmentations of i characters."""
-    deep, n, length = score.shape
+    n, length = codes.shape
     alpha = np.full((n, length + 1), NEVER)
     alpha[:, 0] = 0
-    for i in range(1, length + 1):
-        k = min(deep, i)
-        # piece of j characters ends at i: alpha[i-j] + score[j-1, :, i-1]
-        arrive = score[:k, :, i - 1] + alpha[:, i - k:i][:, ::-1].T
-        alpha[:, i] = _log_sum(arrive)
+    for a, b, _, score in _arcs(pieces, codes):
+        for i in range(a + 1, b + 1):
+            k = min(len(score), i)
+            # piece of j characters ends at i: alpha[i-j] + score[j-1, :, i-1]
+            arrive = score[:k, :, i - 1 - a] + alpha[:, i - k:i][:, ::-1].T
+            alpha[:, i] = _log_sum(arrive)
     return alpha
 
 
@@ -144,7 +160,7 @@ def log_marginals(pieces: Pieces, words: list[str]) -> np.ndarray:
     """Log of the total weight of all segmentations of each word (0 for an empty one)."""
     out = np.zeros(len(words))
     for some, codes in blocks_by_length(words, pieces.longest):
-        out[some] = _forward(_arc_scores(pieces, codes)[1])[:, -1]
+        out[some] = _forward(pieces, codes)[:, -1]
     return out
 
 
@@ -154,26 +170,29 @@ def expected_counts(pieces: Pieces, words: list[str], weights: np.ndarray) -> tu
     total = np.zeros(len(pieces.keys) + 1)
     spelled_chars: dict[int, float] = {}
     for some, codes in blocks_by_length(words, pieces.longest):
-        found, score = _arc_scores(pieces, codes)
-        deep, n, length = score.shape
-        alpha = _forward(score)
+        n, length = codes.shape
+        step = _stripe(pieces, codes)
+        alpha = _forward(pieces, codes)
         beta = np.full((n, length + 1), NEVER)
         beta[:, length] = 0
         weight = weights[some].astype(np.float64)
-        for i in range(length - 1, -1, -1):
-            k = min(deep, length - i)
-            # piece of j characters starts at i: score[j-1, :, i+j-1] + beta[i+j]
-            ends = np.arange(i, i + k)
-            leave = score[np.arange(k), :, ends] + beta[:, i + 1:i + k + 1].T
-            beta[:, i] = _log_sum(leave)
-            share = np.exp(np.minimum(leave + alpha[:, i] - alpha[:, length], 0)) * weight
-            number = found[np.arange(k), :, ends]
-            ok = number >= 0
-            total += np.bincount(number[ok], share[ok], len(total))
-            lone = number[0] < 0
-            if lone.any():
-                for c, s in zip(codes[lone, i].tolist(), share[0][lone].tolist()):
-                    spelled_chars[c] = spelled_chars.get(c, 0.0) + s
+        for a in range((length - 1) // step * step, -1, -step):
+            # pieces that start at a character of this stripe may end in the next
+            found, score = _arc_scores(pieces, codes[:, a:a + step + pieces.longest - 1])
+            for i in range(min(a + step, length) - 1, a - 1, -1):
+                k = min(len(score), length - i)
+                # piece of j characters starts at i: score[j-1, :, i+j-1] + beta[i+j]
+                ends = np.arange(i - a, i - a + k)
+                leave = score[np.arange(k), :, ends] + beta[:, i + 1:i + k + 1].T
+                beta[:, i] = _log_sum(leave)
+                share = np.exp(np.minimum(leave + alpha[:, i] - alpha[:, length], 0)) * weight
+                number = found[np.arange(k), :, ends]
+                ok = number >= 0
+                np.add.at(total, number[ok], share[ok])
+                lone = number[0] < 0
+                if lone.any():
+                    for c, s in zip(codes[lone, i].tolist(), share[0][lone].tolist()):
+                        spelled_chars[c] = spelled_chars.get(c, 0.0) + s
     by_byte = np.zeros(256)
     for c, s in spelled_chars.items():
         for b in _utf8(c):
@@ -181,41 +200,56 @@ def expected_counts(pieces: Pieces, words: list[str], weights: np.ndarray) -> tu
     return total[:-1], by_byte
 
 
-def best_segmentations(pieces: Pieces, words: list[str]) -> list[list[int]]:
-    """The ids of each word's best segmentation (Viterbi).
+def best_paths(pieces: Pieces, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words' best segmentations (Viterbi), back to back, and the
+    number of ids of each word.
 
     Ties go to the longest last piece.  Backpointers are the arg-maxima of the
     same vectorised step, followed for all words of a block at once.
     """
-    out: list[list[int]] = [[] for _ in words]
+    ids, places = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
     for some, codes in blocks_by_length(words, pieces.longest):
-        found, score = _arc_scores(pieces, codes)
-        deep, n, length = score.shape
+        n, length = codes.shape
         best = np.full((n, length + 1), NEVER)
         best[:, 0] = 0
         back = np.zeros((n, length + 1), np.int32)
-        for i in range(1, length + 1):
-            k = min(deep, i)
-            arrive = score[:k, :, i - 1] + best[:, i - k:i][:, ::-1].T
-            pick = k - 1 - np.argmax(arrive[::-1], axis=0)      # the longest of equals
-            back[:, i] = pick + 1
-            best[:, i] = arrive[pick, np.arange(n)]
-        at = np.full(n, length)
-        rows = np.arange(n)
+        piece = np.zeros((n, length + 1), np.int32)
+        every = np.arange(n)
+        for a, b, found, score in _arcs(pieces, codes):
+            for i in range(a + 1, b + 1):
+                k = min(len(score), i)
+                arrive = score[:k, :, i - 1 - a] + best[:, i - k:i][:, ::-1].T
+                pick = k - 1 - np.argmax(arrive[::-1], axis=0)      # the longest of equals
+                back[:, i] = pick + 1
+                piece[:, i] = found[pick, every, i - 1 - a]
+                best[:, i] = arrive[pick, every]
+        ends = np.zeros((n, length + 1), bool)
+        at, rows = np.full(n, length), every
         while len(rows):
-            size = back[rows, at[rows]]
-            number = found[size - 1, rows, at[rows] - 1]
-            for r, s, a in zip(rows.tolist(), number.tolist(), at[rows].tolist()):
-                if s >= 0:
-                    out[some[r]].append(int(pieces.ids[s]))
-                else:
-                    spelling = _utf8(int(codes[r, a - 1]))
-                    out[some[r]].extend(int(pieces.byte_ids[b]) for b in reversed(spelling))
-            at[rows] -= size
+            ends[rows, at[rows]] = True
+            at[rows] -= back[rows, at[rows]]
             rows = rows[at[rows] > 0]
-        for r in some.tolist():
-            out[r].reverse()
-    return out
+        row, end = np.nonzero(ends)
+        number = piece[row, end]
+        place = (some[row] << 32 | end) << 3        # by word, by place, up to 8 ids at one
+        known = number >= 0
+        ids.append(pieces.ids[number[known]].astype(np.uint32))
+        places.append(place[known])
+        if not known.all():
+            chars, which = np.unique(codes[row[~known], end[~known] - 1], return_inverse=True)
+            spelling = [pieces.byte_ids[list(_utf8(int(c)))].astype(np.uint32) for c in chars]
+            for w, first in zip(which.tolist(), place[~known].tolist()):
+                ids.append(spelling[w])
+                places.append(first + np.arange(len(spelling[w])))
+    flat, place = np.concatenate(ids), np.concatenate(places)
+    order = np.argsort(place)
+    return flat[order], np.bincount(place >> 35, minlength=len(words))
+
+
+def best_segmentations(pieces: Pieces, words: list[str]) -> list[list[int]]:
+    """The ids of each word's best segmentation, see :func:`best_paths`."""
+    flat, size = best_paths(pieces, words)
+    return [x.tolist() for x in np.split(flat, np.cumsum(size)[:-1])] if words else []
 
 
 def load_vocabulary(path: str, max_score: float = -1e8) -> tuple[Pieces, list[str]]:

@@ -1,5 +1,6 @@
 """Operators against brute force, on the smallest table and on awkward rows."""
 
+import math
 import os
 import random
 import re
@@ -293,15 +294,19 @@ def test_gradients():
 def test_lm_scores(docs):
     rows = pairs(docs)
     want = brute.base_scores(rows)
-    got = lm_scoring.score_documents(docs, tokenizer_path(PIECES), frequent=50).collect()
+    path = tokenizer_path(PIECES)
+    got = lm_scoring.score_documents(docs, path, frequent=50).collect()
     assert len(got) == len(rows)
+    pieces, names = lattice.load_vocabulary(path)
+    ranks = {names[i]: s for i, s in zip(pieces.ids.tolist(), pieces.scores.tolist())}
+    scores = brute.lattice_scores(rows, ranks, lm_scoring.ROUNDS, lm_scoring.SMOOTHING)
     by = {}
-    for (i, _), w in zip(rows, want):
-        by.setdefault((i, w[1], round(w[4], 6)), []).append(w)
+    for (i, _), w, score in zip(rows, want, scores):
+        by.setdefault((i, w[1], round(w[4], 6)), []).append((*w, score))
     for r in got:
         w = by[r["doc_id"], r["n_tokens"], round(r["base_score"], 6)].pop()
         assert (r["held_out"], r["n_known"], r["train_tokens"]) == (w[0], w[2], w[3])
-        assert np.isfinite(r["score"]) and r["score"] < 0
+        assert math.isclose(r["score"], w[5], rel_tol=1e-9)
 
 
 def test_lattice_marginal_and_viterbi():
@@ -330,6 +335,66 @@ def test_sentencepiece_round_trip(docs):
          [(i, t or "") for i, t in pairs(docs)])
 
 
+def test_sentencepiece_digests(docs):
+    path = tokenizer_path(PIECES)
+    pieces, names = lattice.load_vocabulary(path)
+    score = {names[i]: s for i, s in zip(pieces.ids.tolist(), pieces.scores.tolist())}
+    number = {names[i]: i for i in pieces.ids.tolist()}
+    memory = {}
+
+    def viterbi(w):
+        """Best sum of scores, longest last piece first among equals."""
+        best, back = [0.0] + [-math.inf] * len(w), [None] * (len(w) + 1)
+        for b in range(1, len(w) + 1):
+            for a in range(max(0, b - pieces.longest), b):
+                x = score.get(w[a:b])
+                ids = [number[w[a:b]]] if x is not None else None
+                if x is None and b - a == 1:
+                    spelled = list(w[a].encode())
+                    x = sum(pieces.byte_scores[spelled])
+                    ids = pieces.byte_ids[spelled].tolist()
+                if x is not None and best[a] + x > best[b]:
+                    best[b], back[b] = best[a] + x, (a, ids)
+        out, at = [], len(w)
+        while at:
+            at, ids = back[at]
+            out = ids + out
+        return out
+
+    def row(i, t):
+        cut = re.findall("\u2581*[^\u2581\n]+|\u2581+|\n",
+                         "\u2581" + t.replace(" ", "\u2581")) if t else []
+        for w in set(cut) - set(memory):
+            memory[w] = viterbi(w)
+        ids = [x for w in cut for x in memory[w]]
+        return (i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()),
+                brute.sha(t.replace("\u2581", " ")))
+
+    got = sentencepiece_codec.encode_digests(sentencepiece_codec.encode(docs, path), path)
+    same([tuple(r) for r in got.collect()], [row(i, t or "") for i, t in pairs(docs)])
+
+
+def test_codec_forgets_and_long_words(monkeypatch):
+    path = tokenizer_path(PIECES)
+    texts = pa.array([f"a{i} b\n  c{i % 7} \u2581{'xy' * i}" for i in range(300)] + ["", None, "\n"])
+    whole, small = sentencepiece_codec.Codec(path), sentencepiece_codec.Codec(path, cache_words=50)
+    ids, bounds = whole.encode(texts)
+    parts = [small.encode(texts.slice(a, 10)) for a in range(0, len(texts), 10)]
+    assert np.array_equal(np.concatenate([p for p, _ in parts]), ids)
+    for t, a, b in zip(texts.to_pylist(), bounds[:-1], bounds[1:]):
+        assert whole.decode(ids[a:b]) == (t or "").replace("\u2581", " ")
+
+    pieces, _ = lattice.load_vocabulary(path)
+    long = ["".join(random.Random(n).choices("abc\u00e9\U0001f600", k=n)) for n in (1, 90, 2000)]
+    once = (lattice.log_marginals(pieces, long), lattice.best_segmentations(pieces, long),
+            lattice.expected_counts(pieces, long, np.ones(3)))
+    monkeypatch.setattr(lattice, "BLOCK_ENTRIES", 64)      # stripes of the longest piece
+    assert np.allclose(lattice.log_marginals(pieces, long), once[0])
+    assert lattice.best_segmentations(pieces, long) == once[1]
+    for x, y in zip(lattice.expected_counts(pieces, long, np.ones(3)), once[2]):
+        assert np.allclose(x, y)
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 

@@ -4,16 +4,13 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
-import tempfile
-import zipfile
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.session import ensure_checkpoint_dir
+from lodestar.session import ensure_checkpoint_dir, ship_package
 
 # Upper bound of a broadcast bitmap: 2**27 bits are 16 MB whatever the input.
 MAX_BITMAP_BITS = 1 << 27
@@ -22,30 +19,6 @@ _BITS_PER_BLOCK = 1 << 16
 ROWS_AT_ONCE = 2000
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this library's modules to the executors, once for each application.
-
-    Tasks import the functions that they run; ``addPyFile`` makes that work
-    wherever the package is installed on the driver alone.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="lodestar-"), "lodestar.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for folder, _, names in sorted(os.walk(top)):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    out.write(full, os.path.relpath(full, os.path.dirname(top)))
-    context.addPyFile(path)
-    _shipped.add(context.applicationId)
-
-
 def in_tasks(df: DataFrame, function, schema) -> DataFrame:
     """``df.mapInArrow`` with this library at hand in the tasks.
 

@@ -106,6 +106,25 @@ def test_without_words_or_frequencies(spark):
     assert sorted(r.term for r in segment(tokens, bare).collect()) == ["plain", "text", "人民", "政府"]
 
 
+def test_runs_are_read_in_the_tasks_or_joined(spark):
+    words = WORDS + [("人人", "n", 5), ("人", "n", 7), ("𠀀𠀁", "n", 4)]
+    texts = ["人民人民政府政府人", "人" * 301, "研究生命的起源 plain", "x研究𠀀𠀁y𠀁人民z", "的", "天地玄黄"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "article_id int, content string")
+    tokens = text_tokens(docs)
+    read = segment(tokens, dictionary(spark, words))
+    joined = segment(tokens, dictionary(spark, words), max_words=5)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (read, joined)]
+    # no candidate substring becomes a row
+    assert "MapInArrow" in plans[0] and "Join" not in plans[0] and "Join" in plans[1]
+    rows = sorted(map(tuple, read.collect()))
+    assert rows == sorted(map(tuple, joined.collect()))
+    assert "𠀀𠀁" in {w for *_, w in rows}
+    # of two texts with one id each is read by itself
+    same = spark.createDataFrame([(7, "研究"), (7, "生命")], "article_id int, content string")
+    assert sorted(r.term for r in segment(text_tokens(same), dictionary(spark, words)).collect()) == [
+        "生命", "研究"]
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_query_matches_viterbi_on_the_whole_table(spark):
     from lodestar.plans.registry import QUERIES

@@ -84,8 +84,10 @@ def split_terms(text: Column | str, min_len: int = 2,
             lambda t: F.when(t.rlike(HAN_PATTERN), _han_ngrams(t, lengths))
             .otherwise(F.array(t)),
         ))
-        # Texts without any Han character skip the per-token lambda entirely.
-        tokens = F.when(_col(text).rlike(HAN_PATTERN), expanded).otherwise(tokens)
+        # Texts without any Han character skip the per-token lambda entirely; those of
+        # single bytes have none and are not searched.
+        wide = F.octet_length(_col(text)) > F.length(_col(text))
+        tokens = F.when(wide & _col(text).rlike(HAN_PATTERN), expanded).otherwise(tokens)
     kept = F.filter(tokens, lambda t: F.length(t) >= min_len)
     return F.array_distinct(kept) if distinct else kept
 

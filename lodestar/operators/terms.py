@@ -130,11 +130,12 @@ def content_terms(docs: DataFrame, stopwords: DataFrame | None = None,
         if dictionary is not None:
             ngrams = han_lengths(dictionary, pos_prefix) if han_ngrams is None else han_ngrams
         terms = tokenize(docs, id_col, text_col, min_len, distinct, ngrams)
+    if dictionary is None:
+        return terms if stopwords is None else drop_stopwords(terms, stopwords)
     if stopwords is not None:
-        terms = drop_stopwords(terms, stopwords)
-    if dictionary is not None:
-        terms = keep_pos(terms, dictionary, pos_prefix)
-    return terms
+        # stop words leave the word list, which is short, so each term is looked up once
+        dictionary = drop_stopwords(dictionary, stopwords, term_col="word")
+    return keep_pos(terms, dictionary, pos_prefix)
 
 
 def terms_by_article(terms: DataFrame, as_string: bool = False) -> DataFrame:

@@ -27,7 +27,8 @@ from lodestar.plans import jobs
 from lodestar.plans import warehouse as W
 from lodestar.session import ensure_checkpoint_dir
 from lodestar.sources.tables import (
-    materialize, on_days, read_partitions, replace_partitions, save_counted, save_table, write_all,
+    materialize, on_days, read_partitions, replace_partitions, save_counted, save_table,
+    stored, write_all,
 )
 
 DIGITS = 6
@@ -45,7 +46,7 @@ def _content_terms(spark: SparkSession, d: str) -> DataFrame:
     """O3 output, written once to the checkpoint folder (the article-terms table)."""
     stop = materialize(W.stopwords(spark, d))
     dictionary = materialize(W.dictionary(spark, d))
-    return materialize(content_terms(W.articles(spark, d), stop, dictionary))
+    return stored(content_terms(W.articles(spark, d), stop, dictionary), "article-terms")
 
 
 def _top(spark: SparkSession, d: str, ct: DataFrame | None = None, order: str = "desc"):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -138,3 +139,16 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """:func:`materialize` as a Parquet table in a new folder of the checkpoint folder.
+
+    For tables as long as the input, read more than once: later jobs read the
+    columns that they need, which a checkpoint's rows do not allow, and repeated
+    ids and words are coded once.  The order of rows is not kept.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

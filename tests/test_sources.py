@@ -110,3 +110,13 @@ def test_word_list_frequencies_and_other_failures(spark):
     assert got == {"经济": 103, "人工智能": None, "技术": None}
     with pytest.raises(Exception):         # no such file system: not a missing file
         read_word_list(spark, "nowhere://x/dict.txt", fallback=path).collect()
+
+
+def test_stored_rows_are_read_by_column(spark):
+    from lodestar.sources.tables import stored
+
+    df = stored(spark.createDataFrame([("a", 1, [1.0]), (None, 2, None)], "s string, n int, v array<double>"))
+    assert sorted(df.select("n").collect()) == [(1,), (2,)] and df.where("s IS NULL").count() == 1
+    plan = df.select("n")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<n:int>" in plan
+    assert stored(df.limit(0)).collect() == []

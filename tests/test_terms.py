@@ -104,3 +104,16 @@ def test_untagged_words_keep_their_priority_and_frequencies_win_with_their_list(
     assert {tuple(r) for r in rows} == {("apple", None, 7), ("pear", "n", None), ("fig", "n", 9),
                                         ("plum", "n", None)}
     assert build_dictionary([(second, None)]).columns == ["word", "pos"]
+
+
+def test_stop_words_leave_the_word_list(spark):
+    docs = spark.createDataFrame([("a", "pony apple run pony"), ("b", "apple"), ("c", "pear run")],
+                                 "article_id string, content string")
+    stop = spark.createDataFrame([("apple",), ("apple",), (None,), ("other",)], "word string")
+    words = spark.createDataFrame([("apple", "n"), ("pony", "nz"), ("pear", "n"), ("pear", "n"), ("run", "v"),
+                                   (None, "n")], "word string, pos string")
+    terms = content_terms(docs, stop, words)
+    plan = terms._jdf.queryExecution().optimizedPlan().toString()
+    # one look at each term of a text; the stop words meet the word list only
+    assert plan.index("LeftSemi") < plan.index("Generate") < plan.index("LeftAnti")
+    assert sorted(map(tuple, terms.collect())) == [("a", 0, "pony"), ("c", 0, "pear")]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.strings import terms_to_string
 from lodestar.operators.joins import bounded_broadcast
 from lodestar.operators.ranking import global_top_n
+from lodestar.sources.tables import stored
 
 # The source system's vocabulary cap 512 * 512 (not applied unless asked for) and minimum document frequency 1,
 # top-K 30 keywords per article.
@@ -68,18 +69,21 @@ def tfidf(terms: DataFrame, vocab_size: int | None = None,
     fall outside the vocabulary (as a count-vectorised corpus does).  Repeated
     (article, term) rows count as occurrences of one term, so ``df`` never
     exceeds ``N``; ``unique=True`` states that there are none and spares a
-    shuffle.  A capped vocabulary is broadcast if its measured
-    bytes allow it; an uncapped one joins on
-    ``term``, where AQE broadcasts it by its measured size or splits hot terms.
+    shuffle.  Counted terms and the vocabulary are written once to the checkpoint
+    folder, since each is read again.  The vocabulary is broadcast if its measured
+    bytes allow it, so that the rows of terms are not shuffled; a larger one joins
+    on ``term``, where AQE splits hot terms.
     """
-    n_docs = document_count(terms)
     tf = term_frequency(terms, unique)
-    vocab = document_frequency(tf, vocab_size, min_df, n_docs)
-    if vocab_size is not None:
-        vocab = bounded_broadcast(vocab)
+    if not unique:
+        tf = stored(tf, "term-frequency")
+    n_docs = document_count(tf)
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
-    return (tf.join(vocab.select("term", "df"), "term")
-            .select("article_id", "term", "tf", "df", idf.alias("idf"))
+    vocab = bounded_broadcast(stored(
+        document_frequency(tf, vocab_size, min_df, n_docs).select("term", "df", idf.alias("idf")),
+        "vocabulary"))
+    return (tf.join(vocab, "term")
+            .select("article_id", "term", "tf", "df", "idf")
             .withColumn("score", F.col("tf") * F.col("idf")))
 
 

@@ -124,7 +124,7 @@ def q_tfidf(spark, d):
 
 def q_tfidf_counts(spark, d):
     stop, dictionary = materialize(W.stopwords(spark, d)), materialize(W.dictionary(spark, d))
-    every = materialize(content_terms(W.articles(spark, d), stop, dictionary, distinct=False))
+    every = content_terms(W.articles(spark, d), stop, dictionary, distinct=False)
     return tfidf(every).select("article_id", "term", "tf", "df",
                                F.round("idf", DIGITS).alias("idf"),
                                F.round("score", DIGITS).alias("score"))

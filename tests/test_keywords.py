@@ -167,3 +167,14 @@ def test_df_counts_articles_once(spark):
     got = {(r.article_id, r.term): (r.tf, r.df) for r in tfidf(
         spark.createDataFrame(rows, "article_id string, pos int, term string")).collect()}
     assert got == {("a", "x"): (2, 2), ("b", "x"): (1, 2), ("b", "y"): (1, 1)}
+
+
+def test_rows_of_terms_are_counted_once_and_not_shuffled_for_the_join(spark):
+    t = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y"), ("b", "x"), ("b", None)],
+                              "article_id string, term string")
+    scored = tfidf(t)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    # the counts are read from the stored table; the vocabulary's measured size allows a broadcast
+    assert "strategy=broadcast" in plan and "Aggregate" not in plan and plan.count("parquet") == 2
+    assert sorted((r.article_id, r.term, r.tf, r.df) for r in scored.collect()) == [
+        ("a", "x", 2, 2), ("a", "y", 1, 1), ("b", "x", 1, 2)]

@@ -54,11 +54,16 @@ def _top(spark: SparkSession, d: str, ct: DataFrame | None = None, order: str =
     return top_keywords(tfidf(ct, unique=True), DEFAULT_TOP_K, order)
 
 
+def _kw_join(spark: SparkSession, d: str) -> DataFrame:
+    """O5 join output."""
+    ct = _content_terms(spark, d)
+    word_vec = stored(W.word_vectors(spark, d, ct), "word-vectors")   # the word-vector table
+    return keyword_vectors(_top(spark, d, ct), word_vec)
+
+
 def _kw_vec(spark: SparkSession, d: str) -> DataFrame:
     """O5 join output, written once (the keyword-vector table)."""
-    ct = _content_terms(spark, d)
-    word_vec = materialize(W.word_vectors(spark, d, ct))   # the word-vector table
-    return materialize(keyword_vectors(_top(spark, d, ct), word_vec))
+    return stored(_kw_join(spark, d), "keyword-vectors")
 
 
 def _clicks(spark: SparkSession, d: str) -> DataFrame:
@@ -146,7 +151,7 @@ def q_article_top_terms(spark, d):
 
 
 def q_keyword_vectors(spark, d):
-    return _kw_vec(spark, d)
+    return _kw_join(spark, d)   # read once: by the caller
 
 
 def q_document_vectors(spark, d):

@@ -36,6 +36,8 @@ MAX_TOKENS = 2048
 SALTS = 256
 TOKENISED_BYTES = 1 << 22       # texts coded at once; they share the search for their units
 END_ID = 0
+_ZSTD = pa.Codec("zstd", 1)
+_CODED = 0x80                   # packed ids: the rest is zstd's
 # Kinds of bytes: a unit is a run of letters, one digit, or a run of others.
 _LETTER, _DIGIT = 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -188,8 +190,9 @@ class WordTokenizer:
 
     def _learn(self, units: list[str]) -> None:
         """Append the ids of ``units``: plain ones joined, the others one by one."""
-        plain = [u for u in units if _is_plain(u)]
-        rest = [u for u in units if not _is_plain(u)] if len(plain) < len(units) else []
+        plain, rest = [], []
+        for u in units:
+            (plain if u.isascii() and "'" not in u and "<|" not in u else rest).append(u)
         names, flat, sizes = [], [self.ids], []
         for a in range(0, len(plain), 2000):
             some = plain[a:a + 2000]
@@ -244,10 +247,6 @@ class WordTokenizer:
         return ids, bounds + np.arange(len(bounds))
 
 
-def _is_plain(unit: str) -> bool:
-    return unit.isascii() and "'" not in unit and "<|" not in unit
-
-
 def _units(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The units' bytes back to back (plain words in lower case), their bounds, and
     each row's first unit (one longer than the rows)."""
@@ -275,6 +274,23 @@ def _coder(model: bytes) -> WordTokenizer:
     return WordTokenizer(model)
 
 
+def packed_ids(ids: np.ndarray) -> bytes:
+    """The bytes of ``ids`` after one for their width, by zstd where that is shorter."""
+    raw = ids.tobytes()
+    coded = _ZSTD.compress(raw, asbytes=True)
+    if len(coded) < len(raw):
+        return bytes((ids.itemsize | _CODED,)) + coded
+    return bytes((ids.itemsize,)) + raw
+
+
+def unpacked_ids(data, n: int) -> np.ndarray:
+    """The ``n`` ids in :func:`packed_ids`'s bytes."""
+    data = memoryview(data).cast("B")
+    width = data[0] & ~_CODED
+    raw = _ZSTD.decompress(data[1:], n * width) if data[0] & _CODED else data[1:]
+    return np.frombuffer(raw, f"<u{width}", n)
+
+
 def _pieces(batches, model: bytes, max_tokens: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     coder = _coder(model)
     narrow = len(coder.ends) <= 1 << 16
@@ -291,18 +307,16 @@ def _pieces(batches, model: bytes, max_tokens: int, with_ids: bool) -> Iterator[
             length = np.minimum(n[row] - start, max_tokens)
             at = bounds[row] + start
             little = ids.astype("<u4", copy=False)
-            raw = [little[a:a + k].tobytes() for a, k in zip(at.tolist(), length.tolist())]
-            crc = np.array([zlib.crc32(x) for x in raw], np.int64)
+            spans = list(zip(at.tolist(), (at + length).tolist()))
+            crc = np.array([zlib.crc32(little[a:b]) for a, b in spans], np.int64)
             out = [batch.column(0).slice(first, last - first).take(pa.array(row)),
                    batch.column(1).slice(first, last - first).take(pa.array(row)),
                    pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
                    pa.array(crc)]
             names = ["doc_id", "salt", "piece", "start", "length", "ids_crc32"]
             if with_ids:
-                if narrow:
-                    short = ids.astype("<u2")
-                    raw = [short[a:a + k].tobytes() for a, k in zip(at.tolist(), length.tolist())]
-                out.append(pa.array(raw, pa.binary()))
+                kept = ids.astype("<u2") if narrow else little
+                out.append(pa.array([packed_ids(kept[a:b]) for a, b in spans], pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(out, names=names)
 
@@ -313,8 +327,9 @@ def token_pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str
 
     ``(doc_id, salt, piece, start, length, ids_crc32[, ids])``; ``ids`` are
     little-endian, of 2 bytes each where the vocabulary has at most 65,536
-    entries, else of 4; the crc is always that of 4 bytes each.  A null text is an empty one: its single
-    piece is the end id.  ``path`` is read on the driver and sent to the tasks.
+    entries, else of 4, compressed (:func:`unpacked_ids` reads them), for they are written
+    three times; the crc is always that of 4 bytes each.  A null text is an empty one: its
+    single piece is the end id.  ``path`` is read on the driver and sent to the tasks.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),

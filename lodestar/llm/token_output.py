@@ -14,35 +14,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm._spark import in_tasks, saved
-from lodestar.llm.packing import MAX_TOKENS, place_pieces, token_pieces
+from lodestar.llm.packing import MAX_TOKENS, place_pieces, token_pieces, unpacked_ids
 
 PAD_ID = 0
+ROW_TOKENS = 1 << 22            # of the id matrix, built at once
+
+
+def _matrix(flat: np.ndarray, inside: np.ndarray, fill: int) -> pa.Array:
+    """``flat`` row by row where ``inside``, ``fill`` elsewhere: the bytes of each row."""
+    rows, width = inside.shape
+    out = np.full((rows, width), fill, "<u4")
+    out[inside] = flat
+    ends = np.arange(rows + 1, dtype=np.int32) * np.int32(4 * width)
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends), pa.py_buffer(out)])
+
+
+def _lists(values: np.ndarray, per_row: np.ndarray) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(per_row)))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
 
 def _rows(batches, max_tokens: int):
-    for batch in batches:
-        lengths = batch.column(1).to_pylist()
-        out_ids, out_cu, out_reset, out_pos, used = [], [], [], [], []
-        for raw, parts, starts in zip(batch.column(2), lengths, batch.column(3).to_pylist()):
-            data = raw.as_buffer()
-            ids = np.frombuffer(data, f"<u{len(data) // sum(parts)}")
-            padded = np.full(max_tokens, PAD_ID, "<u4")
-            padded[:len(ids)] = ids
-            cu = np.concatenate(([0], np.cumsum(parts)))
-            position = np.zeros(max_tokens, "<u4")
-            for a, b, s in zip(cu[:-1].tolist(), cu[1:].tolist(), starts):
-                position[a:b] = np.arange(s, s + b - a)
-            out_ids.append(padded.tobytes())
-            out_pos.append(position.tobytes())
-            out_cu.append(cu.tolist())
-            out_reset.append([a for a, s in zip(cu[:-1].tolist(), starts) if s == 0])
-            used.append(len(ids))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(used, pa.int32()), pa.array(out_ids, pa.binary()),
-             pa.array(out_cu, pa.list_(pa.int32())), pa.array(out_reset, pa.list_(pa.int32())),
-             pa.array(out_pos, pa.binary()), batch.column(4), batch.column(5)],
-            names=["sequence_id", "n_tokens", "input_ids", "cu_seqlens", "position_resets",
-                   "position_ids", "doc_ids", "pieces"])
+    at_once = max(1, ROW_TOKENS // max_tokens)
+    for whole in batches:
+        for first in range(0, whole.num_rows, at_once):
+            batch = whole.slice(first, at_once)
+            n = batch.num_rows
+            parts, starts = (batch.column(i).flatten().to_numpy() for i in (1, 3))
+            row = np.repeat(np.arange(n), batch.column(1).value_lengths().to_numpy())
+            used = np.bincount(row, parts, n).astype(np.int64)
+            end = np.cumsum(parts)                        # in all rows one after the other
+            begin = end - parts
+            base = (np.cumsum(used) - used)[row]
+            ids = np.concatenate([unpacked_ids(x.as_buffer(), k) for x, k in
+                                  zip(batch.column(2).flatten(), parts.tolist())])
+            position = np.arange(len(ids)) - np.repeat(begin - starts, parts)
+            inside = np.arange(max_tokens) < used[:, None]
+            pieces = np.bincount(row, minlength=n)
+            zero = np.cumsum(pieces) - pieces             # before each row's first end
+            new = starts == 0
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(used, pa.int32()), _matrix(ids, inside, PAD_ID),
+                 _lists(np.insert(end - base, zero, 0), pieces + 1),
+                 _lists((begin - base)[new], np.bincount(row[new], minlength=n)),
+                 _matrix(position, inside, 0), batch.column(4), batch.column(5)],
+                names=["sequence_id", "n_tokens", "input_ids", "cu_seqlens", "position_resets",
+                       "position_ids", "doc_ids", "pieces"])
 
 
 def packed_sequences(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id",
@@ -64,7 +81,7 @@ def packed_sequences(docs: DataFrame, path: str, text_col: str = "text", id_col:
                                                   "ids")))
     rows = placed.groupBy("sequence_id").agg(packed.alias("p")).select(
         "sequence_id", F.transform("p", lambda x: x["length"]).alias("lengths"),
-        F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"),
+        F.transform("p", lambda x: x["ids"]).alias("ids"),
         F.transform("p", lambda x: x["start"]).alias("starts"),
         F.transform("p", lambda x: x["doc_id"]).alias("doc_ids"),
         F.transform("p", lambda x: x["piece"]).alias("pieces"))

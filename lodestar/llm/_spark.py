@@ -17,6 +17,8 @@ MAX_BITMAP_BITS = 1 << 27
 _BITS_PER_BLOCK = 1 << 16
 # Rows in an Arrow batch: texts of a few thousand characters make some megabytes.
 ROWS_AT_ONCE = 2000
+# Links that a task contracts at once: 4 MB, some 30 MB while at work.
+LINKS_AT_ONCE = 1 << 18
 
 
 def in_tasks(df: DataFrame, function, schema) -> DataFrame:
@@ -167,15 +169,44 @@ def longs(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def least_of_components(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the links ``(u, v)`` and the least node of each one's component."""
+    nodes, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b = at[:len(u)], at[len(u):]
+    label = np.arange(len(nodes))
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return nodes, nodes[label]
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))    # roots under lesser ones
+        while len(np.flatnonzero((up := label[label]) != label)):
+            label = up
+
+
+def _contracted(batches, at_once: int):
+    """Stars with the same components as each ``at_once`` links or so."""
+    for batch in joined(batches, at_once):
+        node, least = least_of_components(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        other = node != least
+        yield pa.RecordBatch.from_arrays([pa.array(node[other]), pa.array(least[other])],
+                                         names=["u", "v"])
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b",
+                         at_once: int = LINKS_AT_ONCE) -> DataFrame:
     """``(node, label)`` for every node of an edge list, ``label`` its component's least node.
 
-    Alternating large-star and small-star steps: each is a least-neighbour
+    Tasks contract ``at_once`` links each to stars; where there are too many links
+    for one task, alternating large-star and small-star steps follow, each a least-neighbour
     aggregate (combined before the shuffle) and a join that AQE can split, so
     a node with a third of all edges is neither collected nor held by a task.
-    Ends when a round changes nothing.  Nulls and self-loops are ignored.
+    Ends when a round changes nothing or one task has contracted what is left.
+    Every exchange of a round costs the driver threads and generated code, whatever the
+    number of links.  Nulls and self-loops are ignored.
     """
-    cur = saved(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
+    cur = saved(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
                 .where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
                 .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
@@ -184,6 +215,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if tuple(mark) == before:
             break
         before = tuple(mark)
+        tasks = -(-mark[0] // at_once)
+        stars = cur.coalesce(max(1, tasks)).transform(
+            in_tasks, lambda it: _contracted(it, at_once), "u long, v long")
+        if tasks <= 1:
+            cur = saved(stars)
+            break
+        cur = saved(stars.distinct())
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(
             "u", F.least("u", "m").alias("m"))

@@ -6,8 +6,8 @@ the first ``s - ceil(t*s) + 1`` of each.  That holds for every order at once,
 so a pair is a candidate only if its prefixes meet under all of them.
 
 * Order 1 puts rare n-grams first.  Rarity is the number of documents in a
-  fixed number of hash buckets, counted over all documents: a table of
-  2**22 numbers whatever the input.  It only shapes the order; any table would
+  fixed number of hash buckets, counted over all documents, in 256 levels: a table of
+  2**22 bytes whatever the input.  It only shapes the order; any table would
   give the same links.  Its prefixes are joined in Spark to find candidates.
 * Orders 2 and 3 are two hash orders.  A candidate's prefixes under both must
   meet too, else it goes before verification.
@@ -103,8 +103,14 @@ def _describe(batches, size: int, marks: list[str]):
          *[none for _ in marks]], names=names)
 
 
+def rarity_levels(counts: np.ndarray) -> np.ndarray:
+    """``counts`` as 256 levels: exact below 128, then some six to each doubling."""
+    above = 128 + 6 * np.log2(np.maximum(counts, 128) / 128)
+    return np.where(counts < 128, counts, np.minimum(above, 255)).astype(np.uint8)
+
+
 def _add_up(batches):
-    """Sums of the partitions' counts, one row for each part of the table."""
+    """Levels of the sums of the partitions' counts, one row for each part of the table."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -114,31 +120,29 @@ def _add_up(batches):
             total[part] += counts
     for part, counts in total.items():
         yield pa.RecordBatch.from_arrays(
-            [pa.array([part]), pa.array([counts.astype("<u4").tobytes()])],
-            names=["part", "counts"])
+            [pa.array([part]), pa.array([rarity_levels(counts).tobytes()])],
+            names=["part", "levels"])
+
 
+def rarity(tallies: DataFrame) -> np.ndarray:
+    """Level of every bucket, rarest first, from the partitions' ``(part, tally)`` rows.
 
-def rarity_ranks(tallies: DataFrame) -> np.ndarray:
-    """Rank of every bucket, rarest first, from the partitions' ``(part, tally)`` rows."""
-    counts = np.zeros((_PARTS, BUCKETS // _PARTS), np.int64)
+    The driver holds the table's 4 MB and no count."""
+    levels = np.zeros((_PARTS, BUCKETS // _PARTS), np.uint8)
     for r in (tallies.repartition(_PARTS, "part")
-              .transform(in_tasks, _add_up, "part long, counts binary").collect()):
-        counts[r["part"]] = np.frombuffer(r["counts"], "<u4")
-    rank = np.empty(BUCKETS, np.uint32)
-    rank[np.argsort(counts.ravel(), kind="stable")] = np.arange(BUCKETS, dtype=np.uint32)
-    return rank
+              .transform(in_tasks, _add_up, "part long, levels binary").collect()):
+        levels[r["part"]] = np.frombuffer(r["levels"], np.uint8)
+    return levels.ravel()
 
 
-def _prefixes(batches, size: int, rank, num: int, den: int):
-    """``(token, cls)`` for the prefix of every set under order 1.
+def _prefixes(batches, size: int, levels, num: int, den: int):
+    """``(token, cls)`` for the prefix of every set under order 1: the level of rarity
+    of the n-gram's bucket (the top 22 bits of its hash), then the hash.
 
-    The token is the n-gram's hash with its top 22 bits, the bucket, replaced
-    by the bucket's rank of rarity: sorting tokens is sorting by the order.
-    A class already sent by this partition is not sent again.
+    The token is the hash.  A class already sent by this partition is not sent again.
     """
     seen: set[int] = set()
-    order = rank.value
-    low = (np.uint64(1) << _LOW_BITS) - np.uint64(1)
+    level = levels.value
     for batch in batches:
         for _, n, row, h, k1, _ in _sets(batch.column(0), size):
             fresh = np.zeros(n, bool)
@@ -148,10 +152,9 @@ def _prefixes(batches, size: int, rank, num: int, den: int):
                     fresh[i] = True
             keep = fresh[row]
             row, h = row[keep], h[keep]
-            bucket = order[(h >> _LOW_BITS).astype(np.int64)].astype(np.uint64)
-            token = (bucket << _LOW_BITS) | (h & low)
-            at = np.lexsort((token, row))
-            row, token = row[at], token[at]
+            # stable, and hashes ascend in each row
+            at = np.lexsort((level[(h >> _LOW_BITS).astype(np.int64)], row))
+            row, token = row[at], h[at]
             sizes = np.bincount(row, minlength=n)
             begin = np.cumsum(sizes) - sizes
             inside = np.arange(len(row)) - begin[row] < prefix_length(sizes, num, den)[row]
@@ -352,9 +355,8 @@ def _components(rows: DataFrame, size: int, num: int, den: int, least: Column,
     if clash:
         raise RuntimeError("two different sets have one 64-bit fingerprint; change its seeds")
 
-    rank = rarity_ranks(described.where("tally IS NOT NULL")
-                        .select(F.col("n_shingles").alias("part"), "tally"))
-    sent = spark.sparkContext.broadcast(rank)
+    sent = spark.sparkContext.broadcast(rarity(described.where("tally IS NOT NULL").select(
+        F.col("n_shingles").alias("part"), "tally")))
 
     texts = rows.select("text")
     by_token = Window.partitionBy("token")

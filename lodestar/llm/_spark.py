@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.session import ensure_checkpoint_dir, ship_package
+from lodestar.session import ensure_checkpoint_dir, ship_package, shuffles_freed
 
 # Upper bound of a broadcast bitmap: 2**27 bits are 16 MB whatever the input.
 MAX_BITMAP_BITS = 1 << 27
@@ -64,9 +64,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder in ``spark.checkpoint.dir`` and cut from its lineage."""
+    """``df`` written to the folder in ``spark.checkpoint.dir`` and cut from its lineage;
+    what was shuffled for it is deleted."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_freed(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
+
+
+def collected(df: DataFrame) -> list:
+    """``df.collect()``; what was shuffled for it is deleted."""
+    with shuffles_freed(df.sparkSession):
+        return df.select("*").collect()
 
 
 def remainder(doc_id: Column, by: int) -> Column:
@@ -99,7 +107,7 @@ def bitmap(keys: DataFrame, column: str, per_key: int = 16,
               .transform(in_tasks, _block_bytes, "block long, packed binary"))
     out = np.zeros(bits // 8, np.uint8)
     size = _BITS_PER_BLOCK // 8
-    for row in blocks.collect():
+    for row in collected(blocks):
         out[row["block"] * size:(row["block"] + 1) * size] = np.frombuffer(row["packed"], np.uint8)
     return out
 

@@ -39,9 +39,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm._spark import (
-    bitmap, connected_components, groups, in_bitmap, in_tasks, longs, saved, spanning,
+    bitmap, collected, connected_components, groups, in_bitmap, in_tasks, longs, saved, spanning,
 )
 from lodestar.llm._text import Words, mix, row_blocks, shingles
+from lodestar.operators.joins import bounded_broadcast
 
 BUCKET_BITS = 22       # the rarity table has 2**22 entries whatever the input
 BUCKETS = 1 << BUCKET_BITS
@@ -54,6 +55,8 @@ BLOCK = 512
 _COLUMNS = 4096        # n-grams that a block's matrices hold at a time
 NUM, DEN = 75, 100     # similarity 0.75
 SHINGLE = 5
+# Rows (three numbers each) that go to the tasks, so that the texts are not shuffled.
+SENT_ROWS = 1 << 18
 
 
 def prefix_length(size, num: int = NUM, den: int = DEN):
@@ -129,8 +132,8 @@ def rarity(tallies: DataFrame) -> np.ndarray:
 
     The driver holds the table's 4 MB and no count."""
     levels = np.zeros((_PARTS, BUCKETS // _PARTS), np.uint8)
-    for r in (tallies.repartition(_PARTS, "part")
-              .transform(in_tasks, _add_up, "part long, levels binary").collect()):
+    for r in collected(tallies.repartition(_PARTS, "part")
+                       .transform(in_tasks, _add_up, "part long, levels binary")):
         levels[r["part"]] = np.frombuffer(r["levels"], np.uint8)
     return levels.ravel()
 
@@ -492,7 +495,8 @@ def keep_one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc
         return df.join(keys, F.col("__id").eqNullSafe(F.col("doc_id__"))
                        & (F.col("__t1") == F.col("t1__")) & (F.col("__t2") == F.col("t2__")), how)
 
-    gone, repeated = (k.toDF("doc_id__", "t1__", "t2__") for k in (gone, repeated))
+    gone, repeated = (bounded_broadcast(k, SENT_ROWS).toDF("doc_id__", "t1__", "t2__")
+                      for k in (saved(gone), repeated))
     left = matched(docs.select("*", *[c.alias(n) for n, c in mine.items()]), gone, "left_anti")
     if not repeated.isEmpty():
         once = matched(left, repeated, "left_semi").dropDuplicates(list(mine))

@@ -17,8 +17,10 @@ that reaches the recall asked for.
 
 Equal vectors are one class, of which only the ``k + 1`` least ids can be
 answers.  Vectors are never sent once per tree: candidates are lists of class
-numbers until the end, when each block of queries that are neighbours in the
-first tree fetches every vector that any of them needs once.
+numbers, cut at the bounds of slabs of ``CHUNK`` classes.  At the end every vector
+goes to its slab once, and every query to the slabs that hold candidates of it,
+where its lists are united.  A task holds one sorted stretch or one slab, and
+``QUERIES`` queries at a time, whatever the number of vectors.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm._blocks import pack, unpack
-from lodestar.llm._spark import groups, in_tasks, joined, saved
+from lodestar.llm._blocks import squeeze, unsqueeze
+from lodestar.llm._spark import collected, groups, in_tasks, joined, saved
 
 NEAREST = 5
 EVERY = 50
@@ -39,11 +41,16 @@ RECALL = 0.95
 SAMPLE = 64
 SEED = 13
 # Entries of a sorted stretch, stretches at most (their bounds are sent to all
-# tasks), queries of a block and vectors of a chunk.
+# tasks), queries compared at once, vectors of a slab at most (their places in it
+# have 16 bits) and slabs at least.
 STRETCH = 400_000
 MAX_STRETCHES = 50_000
 QUERIES = 128
 CHUNK = 16_384
+SLABS = 16
+# Rows and bytes of candidate lists that a task holds before it sends them.
+LISTS_AT_ONCE = 20_000
+BYTES_AT_ONCE = 4 << 20
 
 _TOP = np.uint64(1 << 63)
 
@@ -237,9 +244,7 @@ class Stretches:
 
 
 def _descended(batches, bounds):
-    """Each query's place: how many entries share x bits with it, for every x; in the
-    first tree also its block, of queries of one width."""
-    used = 0
+    """Each query's place: how many entries share x bits with it, for every x."""
     for (pid, width, tree), parts in groups(batches, ["pid", "width", "tree"]):
         asked = np.concatenate([p.column("asked").to_numpy(zero_copy_only=False) for p in parts])
         at = np.flatnonzero(asked)
@@ -254,11 +259,10 @@ def _descended(batches, bounds):
             held[:, x] = (np.searchsorted(strings, high, "right")
                           - np.searchsorted(strings, low, "left")
                           + bounds.value.whole((width, tree), low, high, pid))
-        block = pid << 32 | used + np.arange(len(at)) // QUERIES
-        used += -(-len(at) // QUERIES)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cid), pa.array(block) if tree == 0 else pa.nulls(len(at), pa.int64()),
-             pa.array(held.tolist(), pa.list_(pa.int64()))], names=["cid", "block", "held"])
+            [pa.array(cid), pa.ListArray.from_arrays(
+                pa.array(np.arange(len(at) + 1, dtype=np.int32) * (BITS + 1)),
+                pa.array(held.ravel()))], names=["cid", "held"])
 
 
 def _ascended(batches, wanted: int, bounds):
@@ -284,16 +288,16 @@ def _ascended(batches, wanted: int, bounds):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(pid[part]), pa.array(np.full(n, width, np.int32)),
                      pa.array(np.full(n, tree, np.int32)), pa.array(signed(low[which])),
-                     batch.column("cid").take(row), pa.array(signed(high[which])),
-                     batch.column("block").take(row)],
-                    names=["pid", "width", "tree", "string", "cid", "high", "block"])
+                     batch.column("cid").take(row), pa.array(signed(high[which]))],
+                    names=["pid", "width", "tree", "string", "cid", "high"])
 
 
-def _gathered(batches):
-    """Candidates of every query from one stretch (its entries come before the queries)."""
+def _gathered(batches, chunk: int):
+    """Candidates of every query from one stretch (its entries come before the queries),
+    a list for each slab of ``chunk`` classes: their places in it."""
     for _, parts in groups(batches, ["pid", "width", "tree"]):
         table = pa.Table.from_batches(parts)
-        entry = table["block"].is_null().to_numpy()
+        entry = table["high"].is_null().to_numpy()
         strings, cid = unsigned(table["string"].to_numpy()), table["cid"].to_numpy()
         asks = np.flatnonzero(~entry)
         if not len(asks):
@@ -302,70 +306,117 @@ def _gathered(batches):
         a = np.searchsorted(own, strings[asks], "left")
         high = table["high"].take(pa.array(asks)).to_numpy()
         b = np.searchsorted(own, unsigned(high), "right")
-        blocks = table["block"].take(pa.array(asks)).to_numpy()
-        found = [pack([np.diff(np.sort(classes[x:y]), prepend=0)])
-                 for x, y in zip(a.tolist(), b.tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(blocks), pa.array(cid[asks]), pa.array(found, pa.binary())],
-            names=["block", "q", "found"])
-
-
-def _needed(batches):
-    """The vectors that a block of queries needs, each once, with the queries that ask
-    for it as two words of bits; and the queries, with every chunk."""
-    for (block,), parts in groups(batches, ["block"]):
-        table = pa.Table.from_batches(parts)
-        queries, who = np.unique(table["q"].to_numpy(), return_inverse=True)
-        lists: list[list[np.ndarray]] = [[] for _ in queries]
-        for i, blob in zip(who.tolist(), table["found"]):
-            lists[i].append(np.cumsum(unpack(blob.as_py())[0]))
-        lists = [np.unique(np.concatenate(x)) for x in lists]
-        cid = np.concatenate(lists)
-        number = np.repeat(np.arange(len(queries)), [len(x) for x in lists])
-        order = np.argsort(cid, kind="stable")
-        cid, number = cid[order], number[order].astype(np.uint64)
-        first = np.flatnonzero(np.diff(cid, prepend=-1))
-        words = [np.bitwise_or.reduceat(np.where(
-            number >> np.uint64(6) == w, np.uint64(1) << (number & np.uint64(63)), np.uint64(0)),
-            first).view(np.int64) for w in range(QUERIES // 64)]
-        cid = cid[first]
-        chunk = np.arange(len(cid)) // CHUNK
-        chunks = int(chunk[-1]) + 1
-        n, m = len(cid), len(queries) * chunks
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n + m, block)),
-             pa.array(np.concatenate((chunk, np.repeat(np.arange(chunks), len(queries))))),
-             pa.array(np.concatenate((np.full(n, -1), np.tile(np.arange(len(queries)), chunks)))),
-             pa.array(np.concatenate((cid, np.tile(queries, chunks)))),
-             *[pa.array(np.concatenate((w, np.zeros(m, np.int64)))) for w in words]],
-            names=["block", "chunk", "number", "cid", "w0", "w1"])
-
-
-def _compared(batches, k: int):
-    """The ``k`` nearest classes of every query within a chunk, exactly."""
-    for _, parts in groups(batches, ["block", "chunk"]):
-        table = pa.Table.from_batches(parts).combine_chunks()
-        number, cid = table["number"].to_numpy(), table["cid"].to_numpy()
-        x = _vectors(table["vector"])
+        slabs, queries, found, size = [], [], [], 0
+        for q, x, y in zip(cid[asks].tolist(), a.tolist(), b.tolist()):
+            slab, place = np.divmod(np.sort(classes[x:y]), chunk)
+            cuts = np.flatnonzero(np.diff(slab, prepend=-1))
+            for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(slab)]):
+                slabs.append(int(slab[i]))
+                queries.append(q)
+                found.append(squeeze(np.diff(place[i:j], prepend=0).astype(np.uint16)))
+                size += len(found[-1])
+            if len(found) >= LISTS_AT_ONCE or size >= BYTES_AT_ONCE:
+                yield _lists(slabs, queries, found)
+                slabs, queries, found, size = [], [], [], 0
+        yield _lists(slabs, queries, found)
+
+
+def _lists(slabs: list[int], queries: list[int], found: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(slabs, pa.int64()), pa.array(queries, pa.int64()),
+         pa.array(found, pa.binary())], names=["slab", "q", "found"])
+
+
+class _Slab:
+    """The vectors of one slab, by their places in it."""
+
+    def __init__(self, number: int, chunk: int):
+        self.number, self.chunk = number, chunk
+        self._rows: list[pa.RecordBatch] = []
+        self.of: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        self._rows.append(rows)
+
+    def close(self) -> None:
+        """No vector follows: a matrix for each width, and the row of each place in it."""
+        if not self._rows:
+            return
+        table = pa.Table.from_batches(self._rows).combine_chunks()
+        self._rows = []
+        place = table["cid"].to_numpy() - self.number * self.chunk
         null = table["least"].is_null().to_numpy()
-        least = table["least"].fill_null(0).to_numpy()
-        words = [np.ascontiguousarray(table[w].to_numpy()).view(np.uint64) for w in ("w0", "w1")]
-        rest = np.flatnonzero(number < 0)
-        size = np.linalg.norm(x, axis=1)
-        for q in np.flatnonzero(number >= 0).tolist():
-            bit = np.uint64(int(number[q]) & 63)
-            some = rest[(words[int(number[q]) >> 6][rest] >> bit & np.uint64(1)).astype(bool)]
-            if not len(some):
+        self.null, self.least = (np.zeros(self.chunk, kind) for kind in (bool, np.int64))
+        self.null[place], self.least[place] = null, table["least"].fill_null(0).to_numpy()
+        widths = table["width"].to_numpy()
+        for width in np.unique(widths).tolist():
+            at = np.flatnonzero(widths == width)
+            row = np.zeros(self.chunk, np.int32)
+            row[place[at]] = np.arange(len(at))
+            x = _vectors(table["vector"].take(pa.array(at)))
+            self.of[width] = row, x, np.linalg.norm(x, axis=1)
+
+    def compare(self, queries: list, k: int):
+        """The ``k`` nearest classes of queries ``(q, vector, lists)``, exactly."""
+        out = []
+        for width in {len(v) for _, v, _ in queries}:
+            some = [each for each in queries if len(each[1]) == width]
+            row, x, size = self.of[width]
+            asked = np.stack([v for _, v, _ in some])
+            rough = (asked / np.linalg.norm(asked, axis=1)[:, None]) @ x.T
+            rough /= size
+            for i, (q, v, lists) in enumerate(some):
+                hit = np.zeros(self.chunk, bool)
+                for block in lists:
+                    hit[np.cumsum(unsqueeze(block, np.uint16), dtype=np.int64)] = True
+                place = np.flatnonzero(hit)
+                near = rough[i, row[place]]
+                if len(place) > k:
+                    place = place[near >= np.partition(near, -k)[-k] - 1e-9]
+                score = cosines(x[row[place]], np.broadcast_to(v, (len(place), width)))
+                top = np.lexsort((self.least[place], self.null[place], -score))[:k]
+                place = place[top]
+                out.append((np.full(len(top), q), place + self.number * self.chunk, score[top],
+                            self.least[place], self.null[place]))
+        q, cid, score, least, null = (np.concatenate(c) for c in zip(*out))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(q), pa.array(cid), pa.array(score), pa.array(least, mask=null)],
+            names=["q", "cid", "score", "least"])
+
+
+def _compared(batches, k: int, chunk: int):
+    """The ``k`` nearest classes of every query within a slab.
+
+    A slab's vectors come first (``q`` is null), then each query with its vector and
+    after it its lists; ``QUERIES`` queries are held at a time.
+    """
+    slab, queries = None, []
+    for batch in batches:
+        numbers = batch.column("slab").to_numpy()
+        entry = batch.column("q").is_null().to_numpy(zero_copy_only=False)
+        kind = numbers * 2 + ~entry         # vectors or queries of a slab
+        cuts = np.flatnonzero(np.diff(kind, prepend=-1)).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(kind)]):
+            if slab is None or slab.number != numbers[a]:
+                if queries:
+                    yield slab.compare(queries, k)
+                slab, queries = _Slab(int(numbers[a]), chunk), []
+            if entry[a]:
+                slab.add(batch.slice(a, b - a))
                 continue
-            rough = x[some] @ x[q] / (size[some] * size[q])
-            if len(some) > k:
-                some = some[rough >= np.partition(rough, -k)[-k] - 1e-9]
-            score = cosines(x[some], np.broadcast_to(x[q], (len(some), x.shape[1])))
-            top = np.lexsort((least[some], null[some], -score))[:k]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(top), cid[q])), pa.array(cid[some[top]]),
-                 pa.array(score[top]), table["least"].combine_chunks().take(pa.array(some[top]))],
-                names=["q", "cid", "score", "least"])
+            slab.close()
+            part = batch.slice(a, b - a)
+            for q, v, block in zip(part.column("q").to_pylist(), part.column("vector"),
+                                   part.column("found").to_pylist()):
+                if block is not None:
+                    queries[-1][2].append(block)
+                    continue
+                if len(queries) == QUERIES:
+                    yield slab.compare(queries, k)
+                    queries = []
+                queries.append((q, np.frombuffer(v.as_buffer()), []))
+    if queries:
+        yield slab.compare(queries, k)
 
 
 def nearest_vectors(vectors: DataFrame, vector_col: str = "embedding", id_col: str = "vec_id",
@@ -400,10 +451,11 @@ def nearest_vectors(vectors: DataFrame, vector_col: str = "embedding", id_col: s
     members = (usable.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
                .groupBy("h", "vector")
                .agg(F.sort_array(F.collect_list(F.struct("r", "vec_id"))).alias("members")))
-    classes = saved(members.join(asked.select("h", "vector", F.lit(True).alias("asked")).distinct(),
-                                 ["h", "vector"], "left")
-                    .select("h", "vector", "members", F.coalesce("asked", F.lit(False)).alias("asked"),
-                            F.monotonically_increasing_id().alias("cid")))
+    classes = _numbered(saved(
+        members.join(asked.select("h", "vector", F.lit(True).alias("asked")).distinct(),
+                     ["h", "vector"], "left")
+        .select("h", "vector", "members", F.coalesce("asked", F.lit(False)).alias("asked"),
+                F.monotonically_increasing_id().alias("cid"))))
     planes = Planes(trees, seed)
     packed = saved(in_tasks(classes.select(
         "cid", F.col("members")[0]["vec_id"].alias("least"), "asked", "vector"),
@@ -432,10 +484,26 @@ def nearest_vectors(vectors: DataFrame, vector_col: str = "embedding", id_col: s
                     (-F.col("row.far")).alias("score")))
 
 
+def _numbered(classes: DataFrame) -> DataFrame:
+    """``classes`` with ``cid`` counted on from partition to partition, without gaps."""
+    part = F.shiftright("cid", 33)
+    sizes = sorted(tuple(r) for r in collected(
+        classes.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))))
+    before = np.cumsum([0, *(n for _, n in sizes)])[:-1]
+    first = F.broadcast(classes.sparkSession.createDataFrame(pa.table({
+        "part": pa.array([number for number, _ in sizes], pa.int64()),
+        "before": pa.array(before, pa.int64())})))
+    cid = F.col("before") + F.col("cid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (classes.join(first, part == first["part"])
+            .select(*[cid.alias(c) if c == "cid" else c for c in classes.columns]))
+
+
 def _search(packed: DataFrame, wanted: int, trees: int, k: int) -> DataFrame:
-    """``(q, cid, score, least)``: the ``k`` nearest classes of each query, from every chunk."""
+    """``(q, cid, score, least)``: the ``k`` nearest classes of each query, from every slab."""
     spark = packed.sparkSession
-    parts = max(1, min(MAX_STRETCHES, -(-packed.count() * trees // STRETCH)))
+    n = packed.count()
+    parts = max(1, min(MAX_STRETCHES, -(-n * trees // STRETCH)))
+    chunk = max(1, min(CHUNK, -(-n // SLABS)))
     key = ["width", "tree", "string", "cid"]
     trees_sorted = saved(
         packed.select("width", F.posexplode("strings").alias("tree", "string"), "cid", "asked")
@@ -445,21 +513,25 @@ def _search(packed: DataFrame, wanted: int, trees: int, k: int) -> DataFrame:
         entries.groupBy("pid", "width", "tree").agg(
             F.min("string").alias("first"), F.max("string").alias("last"),
             F.count(F.lit(1)).alias("n")).collect()))
-    places = (in_tasks(entries, lambda it: _descended(it, bounds),
-                       "cid long, block long, held array<long>")
-              .groupBy("cid").agg(F.max("block").alias("block"),
-                                  F.collect_list("held").alias("held")))
+    places = (in_tasks(entries, lambda it: _descended(it, bounds), "cid long, held array<long>")
+              .groupBy("cid").agg(F.collect_list("held").alias("held")))
     asks = in_tasks(places.join(packed.select("cid", "width", "strings"), "cid"),
                     lambda it: _ascended(it, wanted, bounds),
-                    "pid long, width int, tree int, string long, cid long, high long, block long")
+                    "pid long, width int, tree int, string long, cid long, high long")
     stretch_key = ["pid", "width", "tree"]
     met = (entries.drop("asked").unionByName(asks, allowMissingColumns=True)
            .repartition(*stretch_key)
-           .sortWithinPartitions(*stretch_key, F.col("block").isNotNull(), "string"))
-    found = in_tasks(met, _gathered, "block long, q long, found binary")
-    needed = in_tasks(found.repartition("block").sortWithinPartitions("block"), _needed,
-                      "block long, chunk long, number long, cid long, w0 long, w1 long")
-    chunks = (needed.join(packed.select("cid", "vector", "least"), "cid")
-              .repartition("block", "chunk").sortWithinPartitions("block", "chunk"))
-    return in_tasks(chunks, lambda it: _compared(it, k),
+           .sortWithinPartitions(*stretch_key, F.col("high").isNotNull(), "string"))
+    found = saved(in_tasks(met, lambda it: _gathered(it, chunk),
+                           "slab long, q long, found binary"))
+    asked = found.select("slab", "q").distinct().join(
+        packed.select(F.col("cid").alias("q"), "vector"), "q")
+    slabs = (packed.select(F.floor(F.col("cid") / chunk).alias("slab"), "cid", "least", "width",
+                           "vector")
+             .unionByName(asked, allowMissingColumns=True)
+             .unionByName(found, allowMissingColumns=True)
+             .repartition("slab")
+             .sortWithinPartitions("slab", F.col("q").asc_nulls_first(),
+                                   F.col("found").isNotNull()))
+    return in_tasks(slabs, lambda it: _compared(it, k, chunk),
                     "q long, cid long, score double, least long")
